@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from taskspire.llm import language_id, sharding
+from taskspire.llm import html_extraction, language_id, lm_scoring, near_dedup, secrets, sharding, simhash
 
-MODULES = (sharding, language_id)
+MODULES = (sharding, simhash, html_extraction, lm_scoring, secrets, near_dedup, language_id)
 
 
 def queries() -> dict:
