@@ -52,6 +52,9 @@ def row_key(*columns: str) -> Column:
 SPACES = b" \t\n\x0b\x0c\r"
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
+#: Separators of plain words: all of ASCII but letters and digits.
+_IS_MARK = np.ones(256, bool)
+_IS_MARK[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _RNG = np.random.default_rng(20240229)
@@ -83,13 +86,16 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of several texts at once. Word i has the bytes start[i]:end[i] of data and belongs to text doc[i]."""
+    """The words ``[^\\x20\\x09-\\x0D]+`` of several texts at once (plain: runs of letters and digits, without case). Word i has the bytes start[i]:end[i] of data and belongs to text doc[i]."""
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, plain: bool = False):
         self.data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        if lower:
+        if lower or plain:
             self.data = _LOWER[self.data]
-        space = _IS_SPACE[self.data]
+        if plain:  # the capitals of Latin-1, in UTF-8
+            capital = np.flatnonzero((self.data[1:] >= 0x80) & (self.data[1:] <= 0x9E) & (self.data[1:] != 0x97) & (self.data[:-1] == 0xC3)) + 1
+            self.data[capital] += 0x20
+        space = (_IS_MARK if plain else _IS_SPACE)[self.data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             edge = np.concatenate([[0], edge])

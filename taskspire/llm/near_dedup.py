@@ -183,9 +183,9 @@ WITH RECURSIVE words AS (
 ), sizes AS (
   SELECT doc_id, len(s)::BIGINT AS n FROM sets
 ), shared AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
 ), links AS (
-  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 80 * (p.n + q.n - both)
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)
 ), edges AS (
   SELECT x, y FROM links UNION ALL SELECT y, x FROM links
 ), reach AS (

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from taskspire.llm import html_extraction, language_id, lm_scoring, near_dedup, secrets, sharding, simhash
+from taskspire.llm import decontamination, html_extraction, language_id, lm_scoring, mixing, near_dedup, secrets, sharding, simhash, substring_dedup
 
-MODULES = (sharding, simhash, html_extraction, lm_scoring, secrets, near_dedup, language_id)
+MODULES = (decontamination, sharding, mixing, simhash, html_extraction, substring_dedup, lm_scoring, secrets, near_dedup, language_id)
 
 
 def queries() -> dict:
