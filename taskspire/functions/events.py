@@ -47,11 +47,11 @@ def ratio_or_zero(a: Column, b: Column) -> Column:
 
 def with_chain(df):
     """R2. chain_data as ids, chain_id (its root), parent_taskname and parent_total_events from the element before the last. A missing or broken chain is the task alone."""
-    parts = F.split(F.col("chain_data"), ",")
+    df = df.withColumnRenamed("chain_data", "_chain")
+    parts = F.split(F.col("_chain"), ",")
     ids = F.transform(parts, lambda x: F.substring_index(F.trim(x), ":", 1).try_cast("long"))
-    sound = F.coalesce(F.col("chain_data").isNotNull() & (F.size(F.filter(ids, lambda x: x.isNull())) == 0), F.lit(False))
+    sound = F.coalesce(F.size(F.filter(ids, lambda x: x.isNull())) == 0, F.lit(False)) & F.col("_chain").isNotNull()
     parent = F.split(F.when(sound & (F.size(parts) > 1), F.element_at(parts, -2)), ":")
     own = F.array(F.col("taskid").cast("long"))
-    return df.withColumns({
-        "chain_data": F.when(sound, ids).otherwise(own), "parent_taskname": F.get(parent, F.lit(1)), "parent_total_events": F.get(parent, F.lit(2)).try_cast("long"),
-    }).withColumn("chain_id", F.get("chain_data", F.lit(0)))
+    df = df.withColumns({"chain_data": F.when(sound, ids).otherwise(own), "parent_taskname": F.get(parent, F.lit(1)), "parent_total_events": F.get(parent, F.lit(2)).try_cast("long")})
+    return df.withColumn("chain_id", F.get("chain_data", F.lit(0))).drop("_chain")

@@ -12,23 +12,23 @@ MOST_LEVELS = 100
 def lineage(links: DataFrame, write, most_levels: int = MOST_LEVELS) -> DataFrame:
     """J9. (taskid, chain, level) for ``links`` (taskid, parent): each task's path from its root to itself. A cycle ends where it would close.
 
-    Each round doubles the reach of every path (path of a task + path of the task at its head), so a chain of n tasks takes
-    log n joins on the key, each with the whole table but of rows that still grow. ``write`` materialises a round.
+    A row is a task, its path so far and its head, the next task above. Each round doubles the reach of every path (the
+    head's path comes before it), so a chain of n tasks takes log n joins on the key; rows that are done sit out.
+    ``write`` materialises a round.
     """
     tasks = links.groupBy("taskid").agg(F.min("parent").alias("parent"))  # one parent each
     known = tasks.select(F.col("taskid").alias("parent"), F.lit(True).alias("there"))
-    start = tasks.join(known, "parent", "left").select("taskid", F.when(F.col("there") & (F.col("parent") != F.col("taskid")), F.array("parent", "taskid")).otherwise(F.array("taskid")).alias("path"), F.when(F.col("there") & (F.col("parent") != F.col("taskid")), F.col("parent")).alias("head"))
-    now, reach = write(start), 2
+    parent = F.when(F.col("there") & (F.col("parent") != F.col("taskid")), F.col("parent"))
+    now, reach = write(tasks.join(known, "parent", "left").select("taskid", F.array("taskid").alias("path"), parent.alias("head"))), 1
     while now.where("head is not null").limit(1).count():
         if reach > 2 * most_levels:
             raise RuntimeError(f"a chain is longer than {most_levels}")
-        upper = now.select(F.col("taskid").alias("head"), F.col("path").alias("above"), F.col("head").alias("next"))
+        upper = now.select(F.col("taskid").alias("head"), F.reverse("path").alias("above"), F.col("head").alias("next"))
         joined = now.where("head is not null").join(upper, "head")
-        # the part of the path above that isn't in the own path yet, from its end on: a cycle closes no path
-        fresh = F.reverse(F.col("above"))
-        cut = F.array_position(F.transform(F.slice(fresh, F.lit(2), F.size(fresh)), lambda x: F.array_contains("path", x)), F.lit(True))
-        own = F.when(cut > 0, F.slice(fresh, F.lit(2), (cut - 1).cast("int"))).otherwise(F.slice(fresh, F.lit(2), F.size(fresh)))
-        grown = joined.select("taskid", F.concat(F.reverse(own), "path").alias("path"), F.when((cut == 0) & F.col("next").isNotNull() & ~F.array_contains("path", F.col("next")) & ~F.array_contains(own, F.col("next")), F.get("above", F.lit(0))).alias("head"))
+        # of the path above, nearest first, what comes before the first task that the own path has: a cycle ends there
+        met = F.coalesce(F.array_position(F.transform("above", lambda x: F.array_contains("path", x)), F.lit(True)), F.lit(0)).cast("int")
+        path = F.concat(F.reverse(F.when(F.col("met") > 0, F.slice("above", F.lit(1), F.col("met") - 1)).otherwise(F.col("above"))), "path")
+        grown = joined.withColumn("met", met).withColumn("path", path).select("taskid", "path", F.when((F.col("met") == 0) & ~F.array_contains("path", F.col("next")), F.col("next")).alias("head"))
         now = write(now.where("head is null").unionByName(grown))
         reach *= 2
     return now.select("taskid", F.col("path").alias("chain"), F.size("path").alias("level"))

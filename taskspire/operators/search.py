@@ -38,6 +38,10 @@ def all_tokens(df: DataFrame, names: tuple[str, ...] = ("taskname", "primary_inp
     return F.concat(*parts)
 
 
+def _like(pattern: str):
+    return lambda field: field.rlike(pattern)
+
+
 def keyword_search(tasks: DataFrame, words: list[str], size: int | None = 2000, ds_size: int | None = 20) -> DataFrame:
     """Tasks that have all keywords, in order of their id, each with its first datasets. Keywords with ? or * are matched with the fields of the task's name."""
     plain, wild = split_keywords(words)
@@ -47,7 +51,7 @@ def keyword_search(tasks: DataFrame, words: list[str], size: int | None = 2000,
     if plain:
         p = p & (F.size(F.array_except(F.array(*map(F.lit, plain)), all_tokens(tasks))) == 0)
     for w in wild:
-        p = p & F.coalesce(F.exists(name_fields("taskname"), lambda f, w=w: f.rlike(glob_pattern(w))), F.lit(False))
+        p = p & F.coalesce(F.exists(name_fields("taskname"), _like(glob_pattern(w))), F.lit(False))
     out = tasks.where(p)
     if ds_size is not None and "output_dataset" in tasks.columns:
         out = out.withColumn("output_dataset", F.slice(F.coalesce("output_dataset", F.array().cast(dict(tasks.dtypes)["output_dataset"])), 1, ds_size))

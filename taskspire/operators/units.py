@@ -60,6 +60,6 @@ def aggregate(df: DataFrame, by: Sequence[str], units: Sequence[str]) -> DataFra
     if not plain:
         plain = ["count"]
     inner = [u.partition("__")[2] or "count" for u in by_status]
-    counted = df.groupBy(*by, "status").agg(*(_unit(i).alias(u) for i, u in zip(inner, by_status, strict=True)))
-    maps = counted.groupBy(*by).agg(*(F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("status").isNotNull(), F.struct("status", F.col(u).alias("value")))))).alias(u) for u in by_status))
+    counted = df.where("status is not null").groupBy(*by, F.col("status").alias("_status")).agg(*(_unit(i).alias(f"_{u}_value") for i, u in zip(inner, by_status, strict=True)))
+    maps = counted.groupBy(*by).agg(*(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_status", F.col(f"_{u}_value").alias("value"))))).alias(u) for u in by_status))
     return df.groupBy(*by).agg(*map(unit_column, plain)).join(maps, list(by), "left") if by else df.agg(*map(unit_column, plain)).crossJoin(maps)
