@@ -27,8 +27,6 @@ SHARD_WORDS = 60_000
 HOT = 4096
 #: The filter of repeated minimizers: 64-bit words, at most (64 MB). It only spares work; fuller, it lets more through.
 FILTER_WORDS = 1 << 23
-#: The spans of all documents are broadcast only if they are fewer than this.
-BROADCAST_SPANS = 1_000_000
 
 
 class SuffixAutomaton:
@@ -230,9 +228,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, hot: int = HOT) -> DataFra
     """For each row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and the kept text. Null and empty texts have no words; texts shorter than the window lose none. Equal rows are repeats of each other."""
     rows = docs.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
     spans = materialize(repeated_spans(rows, window, hot), "spans")
-    few = spans.count() <= BROADCAST_SPANS
     listed = spans.groupBy("row_key").agg(F.collect_set(F.struct("first", "mask")).alias("spans"))
-    joined = rows.join(F.broadcast(listed) if few else listed, "row_key", "left").select("doc_id", "text", "spans")
+    joined = rows.join(listed, "row_key", "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
