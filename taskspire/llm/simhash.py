@@ -36,7 +36,7 @@ def fingerprints(texts: DataFrame, keys: list[str], column: str) -> DataFrame:
     """``keys``, n_terms and a fingerprint of BITS bits, in hexadecimal, for each row of ``texts``; without terms it is all zeros. ``keys`` must tell rows apart."""
     votes = texts.select(*keys, F.explode_outer(terms(F.col(column))).alias("h"))
     words = BITS // 64
-    hashes = [F.col("h")] + [F.xxhash64("h", F.lit(k)) for k in range(1, words)]
+    hashes = [F.col("h")] + [F.when(F.col("h").isNotNull(), F.xxhash64("h", F.lit(k))) for k in range(1, words)]
     summed = votes.groupBy(*keys).agg(F.count("h").alias("n_terms"), *(c.alias(f"v{k}_{i}") for k, h in enumerate(hashes) for i, c in enumerate(_lanes(h))))
     half = lambda c, high: F.shiftrightunsigned(c, 32) if high else c.bitwiseAND(F.lit(0xFFFFFFFF))
     def word(k: int) -> Column:
