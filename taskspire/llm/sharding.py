@@ -80,8 +80,8 @@ def splitters(keyed: DataFrame, parts: int, group_tolerance: float, shards: int)
     return [found.get(j, AFTER) for j in range(1, parts)], total
 
 
-def shard_rows(docs: DataFrame, shards: int = 40, group_tolerance: float = GROUP_TOLERANCE, segment_bytes: int = SEGMENT_BYTES, materialized: bool = False) -> DataFrame:
-    """All rows of ``docs`` with size, text_crc32, shard (0 to shards - 1) and slot (from 0, gapless in a shard).
+def shard_rows(docs: DataFrame, shards: int = 40, group_tolerance: float = GROUP_TOLERANCE, segment_bytes: int = SEGMENT_BYTES, with_documents: bool = True) -> DataFrame:
+    """All rows of ``docs`` with size, text_crc32, shard (0 to shards - 1) and slot (from 0, gapless in a shard); without their other columns but doc_id, if ``with_documents`` is off.
 
     Law: the shards' bytes are near equal. Equal texts lie in one shard, but for groups larger than ``group_tolerance`` of
     a shard, which may be cut. Empty table: no rows. Rows that are equal in text and doc_id share a key and one shard;
@@ -89,9 +89,9 @@ def shard_rows(docs: DataFrame, shards: int = 40, group_tolerance: float = GROUP
     """
     docs = docs.drop("size", "text_crc32", "sort_key", "segment", "shard", "slot", "segment_start")
     keyed = with_key(docs)
-    small = keyed.select("sort_key", "size") if materialized else keyed.select("sort_key", "size", "doc_id", "text_crc32")
+    small = keyed.select("sort_key", "size") if with_documents else keyed.select("sort_key", "size", "doc_id", "text_crc32")
     small = materialize(small, "shard-keys")
-    rows = keyed if materialized else small
+    rows = keyed if with_documents else small
     n = small.agg(F.sum("size")).first()[0] or 0
     a_shard = max(1, min(-(-n // (shards * segment_bytes)), SEGMENTS // shards))
     cuts, _ = splitters(small, shards * a_shard, group_tolerance, shards)
@@ -121,7 +121,7 @@ def shard_rows(docs: DataFrame, shards: int = 40, group_tolerance: float = GROUP
 
 def op2_sharding(spark, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes. Null text: 16 bytes, CRC 0."""
-    got = shard_rows(spark.read.parquet(f"{sf_dir}/documents.parquet"), 40)
+    got = shard_rows(spark.read.parquet(f"{sf_dir}/documents.parquet"), 40, with_documents=False)
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
