@@ -31,7 +31,7 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def deal_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.shard_rows(docs, SHARDS, materialized=True)
+    return sharding.shard_rows(docs, SHARDS)
 
 
 STAGES = [
