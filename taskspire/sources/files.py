@@ -22,20 +22,25 @@ def messages(spark: SparkSession, path: str | Sequence[str], kind: str = "json",
     if end == "":
         return read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source"))
     if end == "\n":
-        # newline-closed files stay splittable; only the last line of a file without a final newline has to go
-        lines = read.text(path).select("value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("_size"))
-        tails = open_tails(spark, path, kind)
+        # the files stay splittable; only the last line of a file without a final newline has to go
+        lines = read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("_size"))
+        tails = open_tails(lines)
+        if tails is None:
+            return lines.drop("_size")
         marked = lines.join(F.broadcast(tails), "source", "left")
         return marked.where(F.col("tail").isNull() | (F.col("value") != F.col("tail"))).select("value", "source")
     whole = read.text(path, wholetext=True).select(F.split("value", quoted(end), -1).alias("parts"), F.col("_metadata.file_path").alias("source"))
     return whole.select(F.explode(F.slice("parts", F.lit(1), F.size("parts") - 1)).alias("value"), "source")
 
 
-def open_tails(spark: SparkSession, path: str | Sequence[str], kind: str) -> DataFrame:
-    """(source, tail) of the files that don't end in a newline: one row a file at most, the text after its last newline."""
-    read = spark.read.format("binaryFile").option("pathGlobFilter", EXTENSIONS[kind]).load(path)
-    text = F.decode("content", "UTF-8")
-    return read.select(F.col("_metadata.file_path").alias("source"), F.substring_index(text, "\n", -1).alias("tail")).where("tail <> ''")
+def open_tails(lines: DataFrame) -> DataFrame | None:
+    """(source, tail) of the files that don't end in a newline, or None: their lines, with a newline each, are one byte longer than the file. Only those files, which a writer left off in, are read once more."""
+    sizes = lines.groupBy("source").agg(F.sum(F.octet_length("value") + 1).alias("n"), F.max("_size").alias("size"))
+    broken = [r[0] for r in sizes.where("n > size").select("source").collect()]
+    if not broken:
+        return None
+    whole = lines.sparkSession.read.text(broken, wholetext=True)
+    return whole.select(F.col("_metadata.file_path").alias("source"), F.substring_index("value", "\n", -1).alias("tail"))
 
 
 def quoted(text: str) -> str:

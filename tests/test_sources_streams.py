@@ -26,7 +26,7 @@ def test_messages(spark, tmp_path):
 
 def test_message_ends(spark, tmp_path):
     write(tmp_path, "a.json", '{"a":\n1}EOM{"a": 2}EOMtail')
-    assert sorted(r["value"] for r in files.messages(spark, str(tmp_path), end="EOM").collect()) == ['{"a": 2}', '{"a":\n1}']
+    assert sorted(r["value"] for r in files.messages(spark, str(tmp_path), end="EOM").collect()) == ['{"a":\n1}', '{"a": 2}']
     assert files.messages(spark, str(tmp_path), end="").count() == 1
 
 
