@@ -8,7 +8,7 @@ domain (rate * tokens * probability, over all documents) meet the targets; no ra
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,33 +25,40 @@ LEAST_TOXIC, LEAST_ODDS, LEXICON = 4, 8.0, 200
 #: The highest rate: 1 takes each document at most once.
 MOST_RATE = 1.0
 #: Rounds of the fit, and the relative residual at which it ends.
-ROUNDS, TOLERANCE = 25, 1e-6
+ROUNDS, TOLERANCE = 40, 1e-6
+#: It also ends when a step lessens the squared residual by this share only, or none does under so much damping.
+SETTLED, MOST_DAMPING = 1e-4, 1e3
 MARKS = ("!", "*", "|", "%", "$", "#", "&")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is evaluated once. A plain column expression would be copied into each of its uses when the optimizer moves a filter down, and grow with every level."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _words() -> Column:
     return F.filter(F.split(F.translate("text", "\n\t\r", "   "), " "), lambda w: w != "")
 
 
-def statistics(docs: DataFrame, lexicon: Sequence[str]) -> DataFrame:
-    """``docs`` with n_tokens and ``bins``, small whole numbers that describe the text: size, kinds of marks, repetition, words of the lexicon."""
+def statistics(lexicon: Sequence[str]) -> Column:
+    """n_tokens of a text, and ``bins``, small whole numbers that describe it: size, kinds of marks, repetition, words of the lexicon."""
     size = F.greatest(F.octet_length("text"), F.lit(1))
-    share = lambda c: size - F.octet_length(F.replace(F.col("text"), F.lit(c), F.lit("")))
-    step = lambda x, *edges: sum((F.when(x >= e, 1).otherwise(0) for e in edges), F.lit(0))
+    share = lambda c: F.coalesce(size - F.octet_length(F.replace(F.col("text"), F.lit(c), F.lit(""))), F.lit(0))
+    step = lambda x, *edges: let(x, lambda v: sum((F.when(v >= e, 1).otherwise(0) for e in edges), F.lit(0)))
     marks = sum((share(c) for c in MARKS[1:]), F.lit(0))
     listed = F.array(*map(F.lit, lexicon)) if lexicon else F.array().cast("array<string>")
-    t = docs.withColumn("words", F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(_words()))
-    t = t.withColumns({"n_tokens": F.size("words").cast("long"), "n_kinds": F.size(F.array_distinct("words")), "n_listed": F.size(F.array_intersect(listed, "words"))})
-    n = F.greatest(F.col("n_tokens"), F.lit(1))
-    return t.withColumn("bins", F.array(
-        step(F.col("n_tokens"), 20, 100, 500, 2000),
-        step(F.coalesce(share("!") / size, F.lit(0.0)), 0.0005, 0.005, 0.05),
-        step(F.coalesce(marks / size, F.lit(0.0)), 0.0005, 0.005, 0.02, 0.1),
+    words = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(_words())
+    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), F.size(F.array_intersect(listed, w)).alias("listed"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
+    n = lambda c: F.greatest(c["all"], F.lit(1))
+    return let(counts, lambda c: F.struct(c["all"].alias("n_tokens"), F.array(
+        step(c["all"], 20, 100, 500, 2000),
+        step(c["calls"], 0.0005, 0.005, 0.05),
+        step(c["marks"], 0.0005, 0.005, 0.02, 0.1),
         # repetition for a text of its size
-        step(F.log(n) - F.log(F.greatest(F.col("n_kinds"), F.lit(1))) - 0.15 * F.log(n), -0.5, -0.25, 0.0, 0.25, 0.75, 1.5),
-        step(F.col("n_listed"), 1, 2, 3, 5),
-        step(F.col("n_listed") / n, 0.0005, 0.002, 0.005, 0.02),
-    )).drop("words", "n_kinds", "n_listed")
+        step(0.85 * F.log(n(c)) - F.log(F.greatest(c["kinds"], F.lit(1))), -0.5, -0.25, 0.0, 0.25, 0.75, 1.5),
+        step(c["listed"], 1, 2, 3, 5),
+        step(c["listed"] / n(c), 0.0005, 0.002, 0.005, 0.02),
+    ).alias("bins")))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -75,13 +82,18 @@ def toxic_words(sample: DataFrame) -> list[str]:
     return [r[0] for r in counts.where((F.col("a") >= LEAST_TOXIC) & (odds >= LEAST_ODDS)).orderBy(F.desc("a"), "w").limit(LEXICON).collect()]
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], dict[str, float], dict[tuple[int, int, str], float]]:
-    """The lexicon, the log prior of each domain, and the log probability of each bin of each statistic in each domain."""
+Model = tuple[list[str], dict[str, float], dict[tuple[int, int, str], float]]
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """The lexicon, the log prior of each domain, and the log probability of each bin of each statistic in each domain. None if no document is labelled."""
     sample = materialize(labelled(docs, labels), "mix-sample")
     lexicon = toxic_words(sample)
-    counted = statistics(sample, lexicon).select("domain", F.posexplode("bins").alias("i", "bin")).groupBy("domain", "i", "bin").count().collect()  # some tens of rows
+    counted = sample.select("domain", F.posexplode(statistics(lexicon)["bins"]).alias("i", "bin")).groupBy("domain", "i", "bin").count().collect()  # some tens of rows
     sizes = {d: sum(r["count"] for r in counted if r["domain"] == d and r["i"] == 0) for d in DOMAINS}
     total = sum(sizes.values())
+    if not total:
+        return None
     prior = {d: math.log((sizes[d] + 1) / (total + len(DOMAINS))) for d in DOMAINS}
     seen = {(r["i"], r["bin"], r["domain"]): r["count"] for r in counted}
     bins = {(i, b) for i in range(6) for b in range(8)}
@@ -93,19 +105,19 @@ def with_posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return posteriors(docs, learn(docs, labels))
 
 
-def posteriors(docs: DataFrame, model: tuple[list[str], dict[str, float], dict[tuple[int, int, str], float]]) -> DataFrame:
-    lexicon, prior, table = model
-    t = statistics(docs, lexicon)
-    for d in DOMAINS:
-        rows = F.array(*(F.array(*(F.lit(table[i, b, d]) for b in range(8))) for i in range(6)))
-        score = F.lit(prior[d])
-        for i in range(6):
-            score = score + F.element_at(F.element_at(rows, i + 1), F.element_at("bins", i + 1) + 1)
-        t = t.withColumn(f"s_{d}", score)
-    top = F.greatest(*(F.col(f"s_{d}") for d in DOMAINS))
-    t = t.withColumns({f"e_{d}": F.exp(F.col(f"s_{d}") - top) for d in DOMAINS})
-    total = sum((F.col(f"e_{d}") for d in DOMAINS), F.lit(0.0))
-    return t.withColumns({f"p_{d}": F.col(f"e_{d}") / total for d in DOMAINS}).drop("bins", *(f"{x}_{d}" for x in "se" for d in DOMAINS))
+def posteriors(docs: DataFrame, model: Model | None) -> DataFrame:
+    return docs.withColumn("_p", posterior(model)).select(*docs.columns, F.col("_p.n_tokens").alias("n_tokens"), *(F.col("_p.p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)))
+
+
+def posterior(model: Model | None) -> Column:
+    """n_tokens of a text and the array p of its domains' probabilities, as one struct; all alike where nothing was learned."""
+    lexicon, prior, table = model or ([], dict.fromkeys(DOMAINS, 0.0), {(i, b, d): 0.0 for i in range(6) for b in range(8) for d in DOMAINS})
+    rows = {d: F.array(*(F.array(*(F.lit(table[i, b, d]) for b in range(8))) for i in range(6))) for d in DOMAINS}
+    score = lambda x, d: sum((F.get(F.get(rows[d], F.lit(i)), F.get(x["bins"], F.lit(i))) for i in range(6)), F.lit(prior[d]))
+    scored = let(statistics(lexicon), lambda x: F.struct(x["n_tokens"].alias("n_tokens"), F.array(*(score(x, d) for d in DOMAINS)).alias("s")))
+    scaled = let(scored, lambda x: F.struct(x["n_tokens"].alias("n_tokens"), F.transform(x["s"], lambda v: F.exp(v - F.array_max(x["s"]))).alias("e")))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
+    return let(scaled, lambda x: F.struct(x["n_tokens"].alias("n_tokens"), let(total(x["e"]), lambda t: F.transform(x["e"], lambda v: v / t)).alias("p")))
 
 
 def solve(a: list[list[float]], b: list[float]) -> list[float]:
@@ -127,43 +139,60 @@ def solve(a: list[list[float]], b: list[float]) -> list[float]:
     return x
 
 
-def rate_of(steps: list[list[float]], most_rate: float | None) -> Column:
-    """A row's rate after the fit's ``steps``, from its probabilities: a fold, so nothing is carried from round to round."""
-    if not steps:
-        return F.lit(1.0)
-    p = [F.col(f"p_{d}") for d in DOMAINS]
-    move = lambda r, s: r - sum((p[i] * s[i] for i in range(len(p))), F.lit(0.0))
-    bounded = (lambda x: F.greatest(x, F.lit(0.0))) if most_rate is None else (lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(float(most_rate))))
-    return F.aggregate(F.array(*(F.array(*map(F.lit, s)) for s in steps)), F.lit(1.0), lambda r, s: bounded(move(r, s)))
+def rate_of(moved: list[float], most_rate: float | None, p: Column | None = None) -> Column:
+    """A row's rate from its probabilities (the columns p_*, or an array) and the fit's ``moved``: 1, moved along the gradient, projected to 0..most_rate."""
+    own = lambda i: F.col(f"p_{DOMAINS[i]}") if p is None else F.get(p, F.lit(i))
+    rate = F.greatest(sum((own(i) * m for i, m in enumerate(moved)), F.lit(1.0)), F.lit(0.0))
+    return rate if most_rate is None else F.least(rate, F.lit(float(most_rate)))
 
 
-def fit_rates(rows: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE, total: float | None = None) -> tuple[list[list[float]], dict[str, tuple[float, float]]]:
-    """The fit's steps (see ``rate_of``) over ``rows`` (n_tokens, p_*), and for each domain its (expected, target) tokens.
+def fit_rates(rows: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE, total: float | None = None) -> tuple[list[float], dict[str, tuple[float, float]]]:
+    """How far rates move (see ``rate_of``) over ``rows`` (n_tokens, p_*), and for each domain its (expected, target) tokens.
 
-    Minimises the residual r = expected - target in the norm of the domains' Gram matrix G = sum of n p p'. A document's
-    gradient is then p' G^-1 r, of unit Lipschitz constant, so each round takes the full step and projects:
-    rate <- min(max(rate - p' G^-1 r, 0), most_rate). A round is one pass that adds up a few numbers. Unless ``total`` is
-    given, the mixture has so many tokens that the first domain keeps its own; where the bounds keep the targets from being
-    met, what remains is the least-squares residual.
+    Projected gradient with lazy projection for the least squares of the residual, expected - target tokens of the domains,
+    in the norm of their Gram matrix (the sum of n p p'). A document's gradient is its p' times one vector that all share,
+    so the gradients of all rounds add up to as many numbers as there are domains, and a rate is the projection of 1 less
+    that sum. Steps are scaled by the Gram matrix of the documents that aren't at a bound plus ``damping`` times that of
+    all; a step that doesn't lessen the residual is taken back and the damping raised. A round is one pass that adds up a
+    few numbers. Unless ``total`` is given, the mixture has so many tokens that the first domain keeps its own; where the
+    bounds keep the targets from being met, what remains is the least-squares residual.
     """
     n, p, k = F.col("n_tokens").cast("double"), [F.col(f"p_{d}") for d in DOMAINS], len(DOMAINS)
-    sums = rows.agg(*(F.sum(n * p[i]) for i in range(k)), *(F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k))).first()
-    now = [x or 0.0 for x in sums[:k]]
-    gram = [[sums[k + i * k + j] or 0.0 for j in range(k)] for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(k)]
+    r = F.col("rate")
+    inside = F.when((r > 0) & (r < most_rate if most_rate is not None else F.lit(True)), 1.0).otherwise(0.0)
+
+    def measure(moved: list[float]) -> tuple[list[float], list[list[float]]]:
+        free = inside if any(moved) else F.lit(1.0)
+        rated = rows.select(n.alias("n"), *p, rate_of(moved, most_rate).alias("rate"))
+        sums = [x or 0.0 for x in rated.agg(*(F.sum(r * F.col("n") * x) for x in p), *(F.sum(free * F.col("n") * p[i] * p[j]) for i, j in pairs)).first()]
+        return sums[:k], [[sums[k + i * k + j] for j in range(k)] for i in range(k)]
+
+    now, gram = measure([0.0] * k)
     total = now[0] / weights[DOMAINS[0]] * sum(weights.values()) if total is None else total
     target = [total * weights[d] / sum(weights.values()) for d in DOMAINS]
-    steps: list[list[float]] = []
-    near = TOLERANCE * max(total, 1.0)
-    for _ in range(ROUNDS):
+
+    def error(now: list[float]) -> tuple[float, list[float]]:
         residual = [a - b for a, b in zip(now, target, strict=True)]
-        if max(map(abs, residual)) <= near:
+        return sum(a * b for a, b in zip(residual, solve(gram, residual), strict=True)), residual
+
+    moved, inner, damping = [0.0] * k, gram, 0.002
+    least, residual = error(now)
+    for _ in range(ROUNDS):
+        if max(map(abs, residual)) <= TOLERANCE * max(total, 1.0) or damping > MOST_DAMPING:
+            break
+        step = solve([[inner[i][j] + damping * gram[i][j] for j in range(k)] for i in range(k)], residual)
+        tried = [m - s for m, s in zip(moved, step, strict=True)]
+        then, free = measure(tried)
+        less, rest = error(then)
+        if less >= least:
+            damping *= 8
+            continue
+        settled = least - less <= SETTLED * least
+        moved, now, inner, least, residual, damping = tried, then, free, less, rest, damping / 5
+        if settled:
             break
-        steps.append(solve(gram, residual))
-        before, rate = now, rate_of(steps, most_rate)
-        now = [x or 0.0 for x in rows.select(n.alias("n"), rate.alias("rate"), *p).agg(*(F.sum(F.col("rate") * F.col("n") * F.col(f"p_{d}")) for d in DOMAINS)).first()]
-        if max(abs(a - b) for a, b in zip(now, before, strict=True)) <= near:
-            break  # held by the bounds
-    return steps, {d: (now[i], target[i]) for i, d in enumerate(DOMAINS)}
+    return moved, {d: (now[i], target[i]) for i, d in enumerate(DOMAINS)}
 
 
 def chance() -> Column:
@@ -173,23 +202,28 @@ def chance() -> Column:
 
 def copies(rate: Column, chance: Column) -> Column:
     """How often a row is taken at its rate: the whole part, and once more if its chance falls under the rest."""
-    return (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+    return let(rate, lambda r: (F.floor(r) + F.when(chance < r - F.floor(r), 1).otherwise(0)).cast("int"))
 
 
 def rated(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE) -> DataFrame:
-    """doc_id, n_tokens, p_good, p_poor, p_toxic, rate and copies of each row of ``docs``. Null or empty text: 0 tokens. Equal rows get equal rates. Without labels all domains are alike likely."""
-    rows = materialize(with_posteriors(docs.select("doc_id", "text"), labels).withColumn("chance", chance()).drop("text"), "mix-rows")
-    rate = rate_of(fit_rates(rows, weights, most_rate)[0], most_rate)
+    """doc_id, n_tokens, p_good, p_poor, p_toxic, rate and copies of each row of ``docs``. Null or empty text: 0 tokens. Equal rows get equal rates. Without a labelled document all domains are alike likely and all rates 1."""
+    model = learn(docs, labels)
+    rows = materialize(posteriors(docs.select("doc_id", "text"), model).withColumn("chance", chance()).drop("text"), "mix-rows")
+    rate = rate_of(fit_rates(rows, weights, most_rate)[0] if model else [0.0] * len(DOMAINS), most_rate)
     return rows.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("chance"))).drop("chance")
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE) -> DataFrame:
     """The mixing stage: each document as often as its copies say; columns as in ``docs``. The probabilities are made once more for it rather than joined to the texts."""
     model = learn(docs, labels)
+    if not model:
+        return docs
     numbers = materialize(posteriors(docs.select("text"), model).drop("text"), "mix-rows")
-    rate = rate_of(fit_rates(numbers, weights, most_rate)[0], most_rate)
-    taken = posteriors(docs.select("doc_id", "text", F.struct("*").alias("_row")), model).withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), chance())).where("copies > 0")
-    return (taken if most_rate is not None and most_rate <= 1 else taken.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("copies"))))).select("_row.*")
+    moved = fit_rates(numbers, weights, most_rate)[0]
+    taken = let(posterior(model)["p"], lambda p: copies(rate_of(moved, most_rate, p), chance()))
+    if most_rate is not None and most_rate <= 1:
+        return docs.where(taken > 0)
+    return docs.withColumn("_again", F.explode(F.array_repeat(F.lit(1), taken))).drop("_again")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
