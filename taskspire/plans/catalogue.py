@@ -95,9 +95,9 @@ def agg_units_basic(spark, d):
     return got.withColumn("last_update", day("last_update"))
 
 
-@query("agg_duration", "SELECT pr_id, avg(CASE WHEN end_time > start_time THEN epoch_ms(end_time) - epoch_ms(start_time) END) AS task_duration FROM tasks GROUP BY pr_id")
+@query("agg_duration", "SELECT pr_id, round(avg(CASE WHEN end_time > start_time THEN epoch_ms(end_time) - epoch_ms(start_time) END), 3) AS task_duration FROM tasks GROUP BY pr_id")
 def agg_duration(spark, d):
-    return units.aggregate(tasks(spark, d), ["pr_id"], ["task_duration"])
+    return _rounded(units.aggregate(tasks(spark, d), ["pr_id"], ["task_duration"]), "task_duration", digits=3)
 
 
 @query("agg_status_map", "SELECT step_name, status, count(*) AS n, sum(input_events)::BIGINT AS input_events FROM tasks GROUP BY ALL")
@@ -181,10 +181,9 @@ def step_stat_formats(spark, d):
   coalesce(sum(CASE WHEN status IN ('done', 'finished') THEN processed_events END), 0)::BIGINT AS output_task, strftime(min(start_time), '%Y-%m-%d') AS start_time, strftime(max(end_time), '%Y-%m-%d') AS end_time, strftime(max(task_timestamp), '%Y-%m-%d') AS last_update,
   count(*) AS tasks, count(CASE WHEN task_timestamp >= {_NOW} - INTERVAL 1 DAY THEN 1 END) AS updated_24h,
   round(coalesce(sum(processed_events), 0) / nullif(sum(CASE WHEN {_NOT_BAD} THEN input_events END), 0), 6) AS ratio_ds, round(coalesce(sum(CASE WHEN status IN ('done', 'finished') THEN processed_events END), 0) / nullif(sum(CASE WHEN {_NOT_BAD} THEN input_events END), 0), 6) AS ratio_task
-  FROM tasks WHERE pr_id < 1000 GROUP BY 1""")
+  FROM tasks GROUP BY 1""")
 def campaign_stat_summary(spark, d):
-    t = tasks(spark, d).where("pr_id < 1000")
-    got = stats.campaign_summary(t, NOW)
+    got = stats.campaign_summary(tasks(spark, d), NOW)
     return _rounded(got.withColumns({c: day(c) for c in ("start_time", "end_time", "last_update")}), "ratio_ds", "ratio_task")
 
 
@@ -294,11 +293,11 @@ def join_star(spark, d):
     return joined.groupBy("n_name", "r_name").agg(F.sum("n").alias("orders"), F.sum("s").cast("double").alias("total"))
 
 
-@query("join_full_outer_squash", """, sq AS (SELECT l_orderkey AS taskid, string_agg(CASE WHEN l_returnflag = 'R' THEN l_partkey::VARCHAR END, ',' ORDER BY l_partkey::VARCHAR) AS input, string_agg(CASE WHEN l_returnflag = 'A' THEN l_partkey::VARCHAR END, ',' ORDER BY l_partkey::VARCHAR) AS output FROM lineitem WHERE l_orderkey % 3 <> 1 GROUP BY 1)
-SELECT coalesce(t.taskid, sq.taskid) AS taskid, t.status, input, output FROM (SELECT taskid, status FROM tasks WHERE taskid % 3 <> 2) t FULL JOIN sq ON sq.taskid = t.taskid""")
+@query("join_full_outer_squash", """, sq AS (SELECT l_orderkey AS taskid, string_agg(CASE WHEN l_returnflag = 'R' THEN l_partkey::VARCHAR END, ',' ORDER BY l_partkey::VARCHAR) AS input, string_agg(CASE WHEN l_returnflag = 'A' THEN l_partkey::VARCHAR END, ',' ORDER BY l_partkey::VARCHAR) AS output FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1)
+SELECT coalesce(t.taskid, sq.taskid) AS taskid, t.status, input, output FROM (SELECT taskid, status FROM tasks WHERE status <> 'running') t FULL JOIN sq ON sq.taskid = t.taskid""")
 def join_full_outer_squash(spark, d):
-    rows = read(spark, d, "lineitem").where("l_orderkey % 3 <> 1").select(F.col("l_orderkey").alias("taskid"), F.when(F.col("l_returnflag") == "R", "input").when(F.col("l_returnflag") == "A", "output").otherwise("x").alias("type"), F.col("l_partkey").cast("string").alias("datasetname"))
-    got = extract.full_outer_update(tasks(spark, d).where("taskid % 3 <> 2").select("taskid", "status"), extract.squash(rows), "taskid")
+    rows = read(spark, d, "lineitem").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("taskid"), F.when(F.col("l_returnflag") == "R", "input").when(F.col("l_returnflag") == "A", "output").otherwise("x").alias("type"), F.col("l_partkey").cast("string").alias("datasetname"))
+    got = extract.full_outer_update(tasks(spark, d).where("status <> 'running'").select("taskid", "status"), extract.squash(rows), "taskid")
     return got.select("taskid", "status", *(F.array_join(c, ",").alias(c) for c in ("input", "output")))
 
 
@@ -481,21 +480,22 @@ def pivot_params(spark, d):
     return read(spark, d, "events").groupBy("user_id").pivot("event_type", ["click", "error"]).agg(F.round(F.max("value"), 2))
 
 
-@query("index_upsert", "SELECT o_orderkey AS _id, coalesce(u.s, o_orderstatus) AS status FROM orders LEFT JOIN (SELECT l_orderkey, arg_max(l_returnflag, l_linenumber * 1000000 + l_partkey) AS s FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1) u ON u.l_orderkey = o_orderkey WHERE o_orderkey % 3 <> 0 OR u.l_orderkey IS NOT NULL", model=False)
+@query("index_upsert", "SELECT o_orderkey AS _id, coalesce(u.s, o_orderstatus) AS status FROM orders LEFT JOIN (SELECT l_orderkey, arg_max(l_returnflag, l_linenumber * 1000000 + l_partkey) AS s FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1) u ON u.l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' OR u.l_orderkey IS NOT NULL", model=False)
 def index_upsert(spark, d):
-    store = read(spark, d, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("_id"), F.col("o_orderstatus").alias("status"))
-    new = read(spark, d, "lineitem").where("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("_id"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("version"), F.col("l_returnflag").alias("status"))
+    store = read(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("_id"), F.col("o_orderstatus").alias("status"))
+    new = read(spark, d, "lineitem").where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("_id"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("version"), F.col("l_returnflag").alias("status"))
     return upsert.index_upsert(store, new)
 
 
 @query("partial_upsert_incomplete", """SELECT coalesce(s.k, u.k) AS _id, coalesce(u.p, s.p) AS price, s.c AS cust, CASE WHEN u.k IS NULL THEN s.f WHEN u.inc THEN CASE WHEN s.k IS NULL THEN true ELSE s.f END ELSE false END AS _update_required
-FROM (SELECT o_orderkey AS k, floor(o_totalprice)::BIGINT AS p, o_custkey AS c, o_orderkey % 5 = 0 AS f FROM orders WHERE o_orderkey % 3 <> 0) s
-FULL JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey END AS p, o_orderkey % 4 = 0 AS inc FROM orders WHERE o_orderkey % 2 = 0) u ON s.k = u.k""", model=False)
+FROM (SELECT o_orderkey AS k, floor(o_totalprice)::BIGINT AS p, o_custkey AS c, o_orderpriority = '5-LOW' AS f FROM orders WHERE o_orderpriority <> '1-URGENT') s
+FULL JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS p, o_orderstatus = 'P' AS inc FROM orders WHERE o_orderstatus <> 'O') u ON s.k = u.k""", model=False)
 def partial_upsert_incomplete(spark, d):
     o = read(spark, d, "orders")
     k = F.col("o_orderkey")
-    store = o.where("o_orderkey % 3 <> 0").select(k.alias("_id"), F.floor("o_totalprice").cast("long").alias("price"), F.col("o_custkey").alias("cust"), (k % 5 == 0).alias("_update_required"))
-    new = o.where("o_orderkey % 2 = 0").select(k.alias("_id"), F.when(k % 4 != 0, k).alias("price"), (k % 4 == 0).alias("_incomplete"))
+    part = F.col("o_orderstatus") == "P"
+    store = o.where("o_orderpriority <> '1-URGENT'").select(k.alias("_id"), F.floor("o_totalprice").cast("long").alias("price"), F.col("o_custkey").alias("cust"), (F.col("o_orderpriority") == "5-LOW").alias("_update_required"))
+    new = o.where("o_orderstatus <> 'O'").select(k.alias("_id"), F.when(~part, k).alias("price"), part.alias("_incomplete"))
     return upsert.partial_upsert(store, new)
 
 
@@ -507,20 +507,20 @@ def route_actions(spark, d):
 
 @query("consistency_diff", """SELECT a.k AS _id, CASE WHEN b.k IS NULL THEN 'missing' ELSE 'different' END AS problem, CASE WHEN b.k IS NOT NULL THEN concat_ws(',', CASE WHEN a.s IS DISTINCT FROM b.s THEN 'status' END, CASE WHEN a.c IS DISTINCT FROM b.c THEN 'cust' END) END AS fields
 FROM (SELECT o_orderkey AS k, o_orderstatus AS s, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_custkey END AS c FROM orders) a
-LEFT JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 1 THEN 'X' ELSE o_orderstatus END AS s, o_custkey AS c FROM orders WHERE o_orderkey % 7 <> 3) b ON a.k = b.k WHERE b.k IS NULL OR a.s IS DISTINCT FROM b.s OR a.c IS DISTINCT FROM b.c""", model=False)
+LEFT JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 1 THEN 'X' ELSE o_orderstatus END AS s, o_custkey AS c FROM orders WHERE o_orderpriority <> '2-HIGH') b ON a.k = b.k WHERE b.k IS NULL OR a.s IS DISTINCT FROM b.s OR a.c IS DISTINCT FROM b.c""", model=False)
 def consistency_diff(spark, d):
     o, k = read(spark, d, "orders"), F.col("o_orderkey")
     source = o.select(k.alias("_id"), F.col("o_orderstatus").alias("status"), F.when(k % 9 != 0, F.col("o_custkey")).alias("cust"))
-    store = o.where("o_orderkey % 7 <> 3").select(k.alias("_id"), F.when(k % 10 == 1, "X").otherwise(F.col("o_orderstatus")).alias("status"), F.col("o_custkey").alias("cust"))
+    store = o.where("o_orderpriority <> '2-HIGH'").select(k.alias("_id"), F.when(k % 10 == 1, "X").otherwise(F.col("o_orderstatus")).alias("status"), F.col("o_custkey").alias("cust"))
     return consistency.differences(source, store)
 
 
 @query("ndjson_diff", """SELECT coalesce(a.k, b.k)::VARCHAR AS key, CASE WHEN a.k IS NULL THEN 'only_b' WHEN b.k IS NULL THEN 'only_a' ELSE 'different' END AS problem
-FROM (SELECT event_id AS k, event_type AS t FROM events WHERE event_id % 5 <> 0) a FULL JOIN (SELECT event_id AS k, CASE WHEN event_id % 11 = 0 THEN 'x' ELSE event_type END AS t FROM events WHERE event_id % 4 <> 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.t IS DISTINCT FROM b.t""", model=False)
+FROM (SELECT event_id AS k, event_type AS t FROM events WHERE event_type <> 'click') a FULL JOIN (SELECT event_id AS k, CASE WHEN event_id % 11 = 0 THEN 'x' ELSE event_type END AS t FROM events WHERE event_type <> 'error') b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.t IS DISTINCT FROM b.t""", model=False)
 def ndjson_diff(spark, d):
     e, k = read(spark, d, "events"), F.col("event_id")
-    a = e.where("event_id % 5 <> 0").select(k.alias("uid"), F.col("event_type").alias("t"))
-    b = e.where("event_id % 4 <> 0").select(k.alias("uid"), F.when(k % 11 == 0, "x").otherwise(F.col("event_type")).alias("t"))
+    a = e.where("event_type <> 'click'").select(k.alias("uid"), F.col("event_type").alias("t"))
+    b = e.where("event_type <> 'error'").select(k.alias("uid"), F.when(k % 11 == 0, "x").otherwise(F.col("event_type")).alias("t"))
     return consistency.compare(a, b, ("_id", "uid"))
 
 
@@ -568,10 +568,9 @@ def range_expand(spark, d):
     return read(spark, d, "part").select("p_partkey", F.explode(text.range_ids(F.concat((100000 + k).cast("string"), F.lit("-9")))).alias("id"))
 
 
-@query("string_cleaning", "SELECT doc_id, replace(replace(replace(regexp_replace(substr(text, 1, 200), '[^\\x00-\\x7F]', '', 'g'), chr(10), '\\n'), '''', '\\'''), '\"', '') AS cleaned FROM documents WHERE NOT contains(substr(text, 1, 200), '\\')", model=False)
+@query("string_cleaning", "SELECT doc_id, replace(replace(replace(replace(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'), '\\', '\\\\'), chr(10), '\\n'), '''', '\\'''), '\"', '') AS cleaned FROM documents", model=False)
 def string_cleaning(spark, d):
-    docs = read(spark, d, "documents").where(~F.substring("text", 1, 200).contains("\\"))
-    return docs.select("doc_id", text.clean_string(F.substring("text", 1, 200)).alias("cleaned"))
+    return read(spark, d, "documents").select("doc_id", text.clean_string("text").alias("cleaned"))
 
 
 @query("dataset_regex_cut")
