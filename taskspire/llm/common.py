@@ -36,6 +36,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of an Arrow batch: texts are long, and a worker holds a batch, its decoded texts and its result at once.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 2**20)}
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` in small batches. Spark reads the size when the plan runs, so it stays set for the session."""
+    for k, v in BATCH.items():
+        df.sparkSession.conf.set(k, v)
+    return df.mapInArrow(run, schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one made from it that ``df`` has no column of."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def fits_broadcast(df: DataFrame, bytes_a_row: int, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Counts the rows of ``df`` and tells whether they stay under ``limit``."""
     return df.count() * bytes_a_row <= limit

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskspire.llm.common import Words, as_bytes, gram_hashes, pieces
+from taskspire.llm.common import Words, as_bytes, free_name, gram_hashes, map_arrow, pieces
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
@@ -222,9 +222,8 @@ def indexes(benchmark: DataFrame) -> list[Index]:
     return [build([(r[0], r[1]) for r in benchmark.where(shard == s).select("item_id", "text").collect()]) for s in range(n)]
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with the array ``leaks``, one entry an item, empty where there is none (also for null and empty texts). A column of that name is replaced."""
-    docs = docs.drop("leaks")
+def leaks_as(docs: DataFrame, benchmark: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the array of ``with_leaks`` under a free name."""
     at = docs.columns.index("text")
     sent = [docs.sparkSession.sparkContext.broadcast(x) for x in indexes(benchmark)]
 
@@ -234,14 +233,20 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             found: list[list[Leak]] = [[] for _ in texts]
             for index in sent:
                 found = [a + b for a, b in zip(found, find_leaks(index.value, texts), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _LEAK)], names=[*batch.schema.names, "leaks"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _LEAK)], names=[*batch.schema.names, name])
+
+    return map_arrow(docs, run, docs.select("*", F.array().cast(f"array<{LEAK}>").alias(name)).schema)
 
-    return docs.mapInArrow(run, docs.select("*", F.array().cast(f"array<{LEAK}>").alias("leaks")).schema)
+
+def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` with the array ``leaks``, one entry an item, empty where there is none (also for null and empty texts). A column of that name is replaced."""
+    return leaks_as(docs.drop("leaks"), benchmark, "leaks")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The filtering stage: documents without a leak; columns as in ``docs``."""
-    return with_leaks(docs.select(F.struct("*").alias("_row"), "text"), benchmark).where(F.size("leaks") == 0).select("_row.*")
+    name = free_name(docs, "leaks")
+    return leaks_as(docs, benchmark, name).where(F.size(name) == 0).select(*docs.columns)
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taskspire.llm.common import map_arrow
+
 # ---------------------------------------------------------------- the page's tree
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -421,7 +423,7 @@ def extract(pages: DataFrame, extractor: Extractor) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     source = pages.select("page_id", "url", "html")
-    return source.mapInArrow(run, source.select("page_id", "url", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema)
+    return map_arrow(source, run, source.select("page_id", "url", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema)
 
 
 def op5_html_extraction(spark, sf_dir: str) -> DataFrame:

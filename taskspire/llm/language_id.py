@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taskspire.llm.common import free_name, map_arrow
+
 #: Length of the vectors, and the seed of the letters'.
 DIMENSIONS, SEED = 1024, 7
 #: At most about so many labelled rows are learned from (a hash of doc_id picks them).
@@ -122,7 +124,7 @@ def learn(docs: DataFrame, most_rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]
         if total:
             yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "v": pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))})
 
-    got = labelled.select("text", "lang").mapInArrow(sums, "lang string, v array<double>")
+    got = map_arrow(labelled.select("text", "lang"), sums, "lang string, v array<double>")
     by_place = got.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x")).collect()
     out: dict[str, np.ndarray] = {}
     for lang, i, x in by_place:
@@ -130,9 +132,8 @@ def learn(docs: DataFrame, most_rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]
     return {lang: v / np.linalg.norm(v) for lang, v in sorted(out.items()) if np.linalg.norm(v)}
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
-    """``docs`` with lang_pred and score, the cosine with that language's prototype cut to 0..1. Text null or without a letter, or nothing learned: ``und`` and 0. Ties go to the language first in the alphabet. Columns of these names are replaced."""
-    docs = docs.drop("lang_pred", "score")
+def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray], lang_column: str, score_column: str) -> DataFrame:
+    """``docs`` with the two columns of ``identify`` under free names."""
     names, matrix = list(prototypes), np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), DIMENSIONS)
     at = docs.columns.index("text")
 
@@ -148,15 +149,21 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
                     lang, score = names[int(cosines.argmax())], float(min(1, max(0, cosines.max())))
                 langs.append(lang)
                 scores.append(score)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, lang_column, score_column])
+
+    return map_arrow(docs, predict, docs.select("*", F.lit("").cast("string").alias(lang_column), F.lit(0.0).alias(score_column)).schema)
 
-    return docs.mapInArrow(predict, docs.select("*", F.lit("").cast("string").alias("lang_pred"), F.lit(0.0).alias("score")).schema)
+
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
+    """``docs`` with lang_pred and score, the cosine with that language's prototype cut to 0..1. Text null or without a letter, or nothing learned: ``und`` and 0. Ties go to the language first in the alphabet. Columns of these names are replaced."""
+    return with_language(docs.drop("lang_pred", "score"), prototypes, "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """The filtering stage: only documents with a language, known with a cosine of at least ``least``; columns as in ``docs``."""
-    known = identify(docs.select("*", F.struct("*").alias("_row")).select("_row", "text"), learn(docs))
-    return known.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("_row.*")
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    known = with_language(docs, learn(docs), lang, score)
+    return known.where((F.col(lang) != "und") & (F.col(score) >= least)).select(*docs.columns)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskspire.llm.common import as_bytes, fits_broadcast, pieces
+from taskspire.llm.common import as_bytes, fits_broadcast, map_arrow, pieces
 
 #: Tokens of a model's context and its next token together; the pseudo-count that a lower order gets.
 ORDER, PRIOR = 4, 64.0
@@ -78,7 +78,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             ids = seen[at : at + 100_000]
             yield pa.RecordBatch.from_pydict({"gram": pa.array(ids.astype(np.int32)), "background": pa.array(totals[:, ids].sum(axis=0, dtype=np.int64)), "target": pa.array(totals[1, ids].astype(np.int64))})
 
-    counted = docs.select("text", "is_target").mapInArrow(count, "gram int, background long, target long")
+    counted = map_arrow(docs.select("text", "is_target"), count, "gram int, background long, target long")
     return counted.groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 
@@ -127,7 +127,7 @@ def score(docs: DataFrame, target: np.ndarray, background: np.ndarray) -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(loss[0]), pa.array(loss[1]), pa.array(np.round(loss[0] - loss[1], 6) + 0.0)], names=[*batch.schema.names, "n_tokens", "ce_target", "ce_background", "lm_score"])
 
     zero = F.lit(0.0)
-    return docs.mapInArrow(run, docs.select("*", F.lit(0).cast("long").alias("n_tokens"), zero.alias("ce_target"), zero.alias("ce_background"), zero.alias("lm_score")).schema)
+    return map_arrow(docs, run, docs.select("*", F.lit(0).cast("long").alias("n_tokens"), zero.alias("ce_target"), zero.alias("ce_background"), zero.alias("lm_score")).schema)
 
 
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:

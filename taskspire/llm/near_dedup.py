@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from taskspire.llm.common import Words, as_bytes, fits_broadcast, gram_hashes, materialize, mix, pieces
+from taskspire.llm.common import Words, as_bytes, fits_broadcast, gram_hashes, map_arrow, materialize, mix, pieces
 from taskspire.llm.components import components
 
 #: Trees, values that make a region, values that order it, values of the sketch.
@@ -77,7 +77,7 @@ def sign(docs: DataFrame, n: int) -> DataFrame:
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(regions, longs), pa.array(orders, longs), pa.array(sketches, pa.int64())], names=["doc_id", "n_shingles", "set_key", "regions", "orders", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_key long, regions array<long>, orders array<long>, sketch long")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, set_key long, regions array<long>, orders array<long>, sketch long")
 
 
 def _agreeing(a: Column, b: Column) -> Column:
@@ -134,7 +134,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, percen
                     good.append(100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
                 yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(joined, run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

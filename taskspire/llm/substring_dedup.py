@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskspire.llm.common import Words, as_bytes, gram_hashes, materialize, mix, pieces
+from taskspire.llm.common import Words, as_bytes, gram_hashes, map_arrow, materialize, mix, pieces
 
 #: Words of a minimizer; a window has window - K + 1 of them.
 K = 8
@@ -124,7 +124,7 @@ def repeated_minimizers(docs: DataFrame, window: int) -> DataFrame:
             h, n = np.unique(np.concatenate(got), return_counts=True) if got else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-    return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    return map_arrow(docs.select("text"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
 
 
 def filter_of(keys: DataFrame) -> np.ndarray:
@@ -157,7 +157,7 @@ def occurrences(docs: DataFrame, bloom: np.ndarray, window: int) -> DataFrame:
                 text = [buffer[x:y] for x, y in zip(start[on].tolist(), end[on].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(seg[on]), pa.array(keys[doc[on]]), pa.array(first[on].astype(np.int32)), pa.array(count[on].astype(np.int32)), pa.array(text, pa.binary())], names=["h", "seg", "row_key", "first", "count", "words"])
 
-    return docs.select("row_key", "text").mapInArrow(run, "h long, seg long, row_key long, first int, count int, words binary")
+    return map_arrow(docs.select("row_key", "text"), run, "h long, seg long, row_key long, first int, count int, words binary")
 
 
 def stream_shards(distinct: DataFrame, window: int) -> DataFrame:
@@ -187,7 +187,7 @@ def stream_shards(distinct: DataFrame, window: int) -> DataFrame:
         if rows:
             yield shard(rows)
 
-    return distinct.select("h", "seg", "c", "words").repartition("h").sortWithinPartitions("h", "seg").mapInArrow(run, "h long, seg long, mask long")
+    return map_arrow(distinct.select("h", "seg", "c", "words").repartition("h").sortWithinPartitions("h", "seg"), run, "h long, seg long, mask long")
 
 
 def count_windows(distinct: DataFrame, window: int) -> DataFrame:
@@ -202,7 +202,7 @@ def count_windows(distinct: DataFrame, window: int) -> DataFrame:
             i, bit, g = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
             yield pa.RecordBatch.from_arrays([pa.array(h[i]), pa.array(seg[i]), pa.array(c[i]), pa.array(bit.astype(np.int32)), pa.array(g)], names=["h", "seg", "c", "bit", "g"])
 
-    windows = materialize(distinct.select("h", "seg", "c", "words").mapInArrow(run, "h long, seg long, c long, bit int, g long"), "hot-windows")
+    windows = materialize(map_arrow(distinct.select("h", "seg", "c", "words"), run, "h long, seg long, c long, bit int, g long"), "hot-windows")
     twice = windows.groupBy("g").agg(F.sum("c").alias("n")).where("n > 1").select("g")
     return windows.join(twice, "g").groupBy("h", "seg").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("mask"))
 
@@ -256,7 +256,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, hot: int = HOT) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     zero = F.lit(0).cast("long")
-    return joined.mapInArrow(run, joined.select("doc_id", zero.alias("n_words"), zero.alias("n_removed"), F.lit("").alias("kept_sha256"), F.lit("").alias("kept_text")).schema)
+    return map_arrow(joined, run, joined.select("doc_id", zero.alias("n_words"), zero.alias("n_removed"), F.lit("").alias("kept_sha256"), F.lit("").alias("kept_text")).schema)
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
