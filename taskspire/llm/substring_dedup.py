@@ -212,13 +212,14 @@ def repeated_spans(docs: DataFrame, window: int, hot: int = HOT) -> DataFrame:
     if not 2 * K <= window <= 62 + K:
         raise ValueError(f"window must be {2 * K} to {62 + K} words")
     found = materialize(occurrences(docs, filter_of(materialize(repeated_minimizers(docs, window), "minimizers")), window), "segments")
-    distinct = materialize(found.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("count").alias("count")), "distinct-segments")
+    distinct = materialize(found.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("count").alias("count"), F.min("row_key").alias("row_key")), "distinct-segments")
     of_h = distinct.groupBy("h").agg(F.sum("c").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     known = materialize(distinct.join(of_h, "h"), "repeated-segments")
     # one kind of segment, twice or more: its automaton is a path of that weight
     alone = known.where("kinds = 1").select("h", "seg", F.when(F.col("count") >= 63, F.lit(-1)).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("count")) - 1).alias("mask"))
-    several = known.where("kinds > 1").select("h", "seg", "c", "kinds")
-    texts = materialize(found.select("h", "seg", "words").join(several, ["h", "seg"]).dropDuplicates(["h", "seg"]), "segment-texts")
+    # the words come from one document for each segment, so a segment that many documents share doesn't meet in one task
+    several = known.where("kinds > 1").select("h", "seg", "row_key", "c", "kinds")
+    texts = materialize(found.select("h", "seg", "row_key", "words").join(several, ["h", "seg", "row_key"]).dropDuplicates(["h", "seg"]), "segment-texts")
     masks = stream_shards(texts.where(F.col("kinds") <= hot), window).union(count_windows(texts.where(F.col("kinds") > hot), window)).where("mask <> 0")
     masks = materialize(masks.union(alone), "masks")
     return found.select("h", "seg", "row_key", "first").join(masks, ["h", "seg"]).select("row_key", "first", "mask")
