@@ -14,8 +14,10 @@ from taskspire.llm.common import materialize
 
 #: Bits of a fingerprint, in 64-bit words.
 BITS = 128
-#: Buckets of doc_id by which neighbours in id order are found, and the relative error of their bounds.
-BUCKETS, ACCURACY = 200, 10_000
+#: Neighbours in id order are found within buckets of ids: rows of a bucket, and the least and greatest number of buckets.
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 1500, 200, 20_000
+#: The buckets' bounds are quantiles of about so many ids a bucket; they only balance the work.
+IDS_A_BUCKET = 50
 LANES = 0x0000000100000001
 
 
@@ -60,14 +62,24 @@ def likeness(a: Column, b: Column) -> Column:
 def with_neighbour(docs: DataFrame) -> DataFrame:
     """doc_id, text, next_text and the keys own and next, by descending doc_id (ties by text); after the last comes the first.
 
-    Null texts count as empty, a null id as the least. The ids are cut at quantiles into buckets, which are sorted apart;
+    Null texts count as empty, a null id as the least. The ids are cut at about their quantiles into buckets, which are sorted apart;
     the first rows of each bucket are also dealt to the bucket before it.
     """
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    cuts = sorted(set(rows.agg(F.percentile_approx("_id", [i / BUCKETS for i in range(1, BUCKETS)], ACCURACY)).first()[0] or []))
-    # bucket 0 has the greatest ids: it comes first
-    rows = rows.withColumn("bucket", F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<bigint>"), lambda c: c > F.col("_id"))))
-    sizes = {r[0]: (r[1], r[2]) for r in rows.groupBy("bucket").agg(F.count("*"), F.max("_id")).collect()}  # at most BUCKETS rows
+    n = rows.select("_id").count()
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, n // BUCKET_ROWS))
+    share = min(1.0, buckets * IDS_A_BUCKET / max(n, 1))
+    ids = sorted(r[0] for r in rows.where(F.pmod(F.xxhash64("_id", F.lit("cut")), F.lit(1 << 20)) < int(share * (1 << 20))).select("_id").collect())
+    cuts = sorted({ids[i * len(ids) // buckets] for i in range(1, buckets)}, reverse=True) if ids else []
+    # two levels of cuts, so that a row is compared with about twice the root of their number; bucket 0 has the greatest ids
+    wide = max(1, round(len(cuts) ** 0.5))
+    groups = [cuts[i : i + wide] for i in range(0, len(cuts), wide)] or [[]]
+    above = lambda values: F.size(F.filter(values, lambda c: c > F.col("_id")))
+    longs = lambda values: F.array(*(F.lit(v).cast("long") for v in values)) if values else F.array().cast("array<bigint>")
+    tops = longs([g[-1] for g in groups[:-1]])
+    inner = F.array(*map(longs, groups))
+    rows = rows.withColumn("_group", above(tops)).withColumn("bucket", F.col("_group") * wide + above(F.get(inner, F.col("_group")))).drop("_group")
+    sizes = {r[0]: (r[1], r[2]) for r in rows.groupBy("bucket").agg(F.count("*"), F.max("_id")).collect()}  # at most MOST_BUCKETS rows
     order = sorted(sizes)
     after = {b: order[(i + 1) % len(order)] for i, b in enumerate(order)}
     spark = docs.sparkSession

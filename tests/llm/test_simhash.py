@@ -63,3 +63,16 @@ def test_radius(spark):
 def test_no_python(spark, small):
     plan = H.op4_fingerprints(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_neighbours_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(H, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(H, "LEAST_BUCKETS", 1)
+    r = random.Random(11)
+    ids = r.sample(range(-500, 5000), 300)
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
+    got = {x["doc_id"]: x["next_text"] for x in H.with_neighbour(df).collect()}
+    order = sorted(ids, reverse=True)
+    assert got == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
+    keys = H.with_neighbour(df).select("own", "next").collect()
+    assert {k["own"] for k in keys} == {k["next"] for k in keys} and len({k["own"] for k in keys}) == 300
