@@ -140,7 +140,7 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * down[: len(h) - n + 1])
 
 
-def pieces(texts: list[bytes], most: int = 1 << 20):
+def pieces(texts: list[bytes], most: int = 500_000):
     """Slices of ``texts`` of about ``most`` bytes each (a longer text stands alone and whole), as (from, to)."""
     at, size = 0, 0
     for i, t in enumerate(texts):
