@@ -20,8 +20,6 @@ from taskspire.llm.components import components
 
 #: Trees, values that make a region, values that order it, values of the sketch.
 TREES, ROOT, DEEP, SKETCH = 16, 4, 8, 16
-#: Components of at most SMALL sets are compared with all of their regions in a second round; a region of over WIDE sets is cut deeper for it.
-SMALL, WIDE = 8, 4000
 #: Candidates: so many neighbours that follow in a region's order. Two sketches that agree on fewer values are no candidates.
 NEIGHBOURS, LEAST_SKETCH = 4, 6
 #: A region of more sets is ordered in parts of about PART sets, other ones in each tree; the first LINKS of each part are ordered once more together.
@@ -90,17 +88,13 @@ def _agreeing(a: Column, b: Column) -> Column:
     return SKETCH - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def shared_regions(signed: DataFrame) -> DataFrame:
-    """A row for each set and tree in whose region other sets are, too, with the region's number of sets."""
+def candidates(signed: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of set keys that are neighbours in some tree and whose sketches agree enough."""
     sets = signed.where("set_key is not null").dropDuplicates(["set_key"])
     rows = sets.select("set_key", "sketch", F.posexplode(F.arrays_zip("regions", "orders")).alias("tree", "x")).select("set_key", "sketch", "tree", F.col("x.regions").alias("region"), F.col("x.orders").alias("order"))
     dense = rows.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.when(F.col("n") > REGION, F.ceil(F.col("n") / PART)).otherwise(F.lit(1))
-    return materialize(rows.join(dense, ["tree", "region"]).withColumn("part", F.pmod(F.xxhash64("set_key", "tree"), parts)), "forest")
-
-
-def candidates(shared: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of set keys that are neighbours in some tree and whose sketches agree enough."""
+    shared = materialize(rows.join(dense, ["tree", "region"]).withColumn("part", F.pmod(F.xxhash64("set_key", "tree"), parts)), "forest")
 
     def neighbours(frame: DataFrame, by: list[str]) -> DataFrame:
         order = Window.partitionBy(*by).orderBy("order", "set_key")
@@ -113,23 +107,6 @@ def candidates(shared: DataFrame) -> DataFrame:
     return in_part.union(neighbours(heads, ["tree", "region"])).distinct()
 
 
-def stray_candidates(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of a set in a small component (or in none) and any set of its regions that isn't in the same one.
-
-    Neighbours in order find most of a dense region's links, but a set that resembles only a few of many may miss them. In
-    regions wider than WIDE the pair also has to agree on the next values, one for each doubling.
-    """
-    sizes = label.groupBy("label").agg(F.count("*").alias("members"))
-    known = label.join(sizes, "label").withColumnRenamed("node", "set_key")
-    deeper = F.least(F.lit(DEEP), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / WIDE)))).cast("int")
-    cut = F.when(deeper > 0, F.call_function("shiftrightunsigned", F.col("order"), (64 - 64 // DEEP * deeper).cast("int"))).otherwise(F.lit(0))
-    crowded = shared.where(F.col("n") > NEIGHBOURS + 1).withColumn("deep", cut).join(known, "set_key", "left").select("tree", "region", "deep", "set_key", "sketch", F.coalesce("label", "set_key").alias("label"), F.coalesce("members", F.lit(1)).alias("members"))
-    crowded = materialize(crowded, "crowded")
-    stray = crowded.where(F.col("members") <= SMALL).select("tree", "region", "deep", F.col("set_key").alias("a"), F.col("sketch").alias("s"), F.col("label").alias("own"))
-    pairs = stray.join(crowded, ["tree", "region", "deep"]).where((F.col("own") != F.col("label")) & (_agreeing(F.col("s"), F.col("sketch")) >= LEAST_SKETCH))
-    return pairs.select(F.least("a", "set_key").alias("a"), F.greatest("a", "set_key").alias("b")).distinct()
-
-
 def confirm(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     used = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
@@ -167,10 +144,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     Rows without words have 0 shingles and stand alone. A null doc_id sorts after all others and is its own component.
     """
     signed = materialize(sign(docs, n), "signed")
-    shared = shared_regions(signed)
-    links = materialize(confirm(materialize(candidates(shared), "pairs"), docs, signed, n, percent), "links")
-    rest = materialize(stray_candidates(shared, components(links)), "stray-pairs")
-    label = components(links.union(confirm(rest, docs, signed, n, percent)))
+    pairs = materialize(candidates(signed), "pairs")
+    links = confirm(pairs, docs, signed, n, percent)
+    label = components(links)
     classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(label.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
     # written, so that the join with it is one whose large partitions can be split: a component may hold many classes
