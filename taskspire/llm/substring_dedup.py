@@ -86,7 +86,7 @@ class SuffixAutomaton:
 
 
 def segments(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For slices of ``texts``: arrays of each segment's minimizer, text, first window (as a word's number in the text), number of windows, hash, and the bytes it spans (data, from, to)."""
+    """For slices of ``texts``: arrays of each segment's minimizer, text, first window (as a word's number in the text), number of windows, and hash."""
     for a, b in pieces(texts):
         words = Words(texts[a:b])
         h = words.hashes()
@@ -112,7 +112,7 @@ def segments(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]
         mixed = np.concatenate([[np.uint64(0)], np.cumsum(mix(g[:-1] * np.uint64(3) + g[1:]), dtype=np.uint64)]) if len(g) > 1 else total
         stop = first + count + window - 1 - K
         hashed = mix((total[stop + 1] - total[first]) ^ mix(mixed[stop] - mixed[first]) ^ (count.astype(np.uint64) << np.uint64(32)) ^ (place[first] - first).astype(np.uint64))
-        yield g[place[first]].view(np.int64), a + words.doc[first], first - words.bound[words.doc[first]], count, hashed.view(np.int64), words.data, words.start[first], words.end[first + count + window - 2]
+        yield g[place[first]].view(np.int64), a + words.doc[first], first - words.bound[words.doc[first]], count, hashed.view(np.int64)
 
 
 def repeated_minimizers(docs: DataFrame, window: int) -> DataFrame:
@@ -145,19 +145,31 @@ def may_hold(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, bloom: np.ndarray, window: int) -> DataFrame:
-    """h, seg, row_key, first, count and words of each segment of ``docs`` (row_key, text) whose minimizer may be repeated."""
+    """h, seg, row_key, first and count of each segment of ``docs`` (row_key, text) whose minimizer may be repeated."""
     sent = docs.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            for h, doc, first, count, seg, data, start, end in segments(as_bytes(batch.column(1)), window):
+            for h, doc, first, count, seg in segments(as_bytes(batch.column(1)), window):
                 on = np.flatnonzero(may_hold(sent.value, h))
-                buffer = data.tobytes()
-                text = [buffer[x:y] for x, y in zip(start[on].tolist(), end[on].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(seg[on]), pa.array(keys[doc[on]]), pa.array(first[on].astype(np.int32)), pa.array(count[on].astype(np.int32)), pa.array(text, pa.binary())], names=["h", "seg", "row_key", "first", "count", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(seg[on]), pa.array(keys[doc[on]]), pa.array(first[on].astype(np.int32)), pa.array(count[on].astype(np.int32))], names=["h", "seg", "row_key", "first", "count"])
 
-    return map_arrow(docs.select("row_key", "text"), run, "h long, seg long, row_key long, first int, count int, words binary")
+    return map_arrow(docs.select("row_key", "text"), run, "h long, seg long, row_key long, first int, count int")
+
+
+def segment_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """(h, seg, c, kinds, words) for the segments ``wanted`` (h, seg, c, kinds, row_key, first, count), cut out of their documents."""
+    listed = wanted.groupBy("row_key").agg(F.collect_list(F.struct("h", "seg", "c", "kinds", "first", "count")).alias("own"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, own in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                words = text.split()
+                cut = [b" ".join(words[x["first"] : x["first"] + x["count"] + window - 1]) for x in own]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], pa.int64()) for k in ("h", "seg", "c", "kinds")] + [pa.array(cut, pa.binary())], names=["h", "seg", "c", "kinds", "words"])
+
+    return map_arrow(docs.join(listed, "row_key").select("text", "own"), run, "h long, seg long, c long, kinds long, words binary").dropDuplicates(["h", "seg"])
 
 
 def stream_shards(distinct: DataFrame, window: int) -> DataFrame:
@@ -212,14 +224,13 @@ def repeated_spans(docs: DataFrame, window: int, hot: int = HOT) -> DataFrame:
     if not 2 * K <= window <= 62 + K:
         raise ValueError(f"window must be {2 * K} to {62 + K} words")
     found = materialize(occurrences(docs, filter_of(materialize(repeated_minimizers(docs, window), "minimizers")), window), "segments")
-    distinct = materialize(found.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("count").alias("count"), F.min("row_key").alias("row_key")), "distinct-segments")
+    distinct = materialize(found.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("count").alias("count"), F.min(F.struct("row_key", "first")).alias("at")), "distinct-segments")
     of_h = distinct.groupBy("h").agg(F.sum("c").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     known = materialize(distinct.join(of_h, "h"), "repeated-segments")
     # one kind of segment, twice or more: its automaton is a path of that weight
     alone = known.where("kinds = 1").select("h", "seg", F.when(F.col("count") >= 63, F.lit(-1)).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("count")) - 1).alias("mask"))
     # the words come from one document for each segment, so a segment that many documents share doesn't meet in one task
-    several = known.where("kinds > 1").select("h", "seg", "row_key", "c", "kinds")
-    texts = materialize(found.select("h", "seg", "row_key", "words").join(several, ["h", "seg", "row_key"]).dropDuplicates(["h", "seg"]), "segment-texts")
+    texts = materialize(segment_words(docs, known.where("kinds > 1").select("h", "seg", "c", "kinds", "at.row_key", "at.first", "count"), window), "segment-texts")
     masks = stream_shards(texts.where(F.col("kinds") <= hot), window).union(count_windows(texts.where(F.col("kinds") > hot), window)).where("mask <> 0")
     masks = materialize(masks.union(alone), "masks")
     return found.select("h", "seg", "row_key", "first").join(masks, ["h", "seg"]).select("row_key", "first", "mask")
