@@ -1,9 +1,10 @@
 """Operator 9, MinHash near-duplicates with an LSH forest.
 
 A document is its set of word shingles. Each tree of the forest sorts the sets by a signature of its own. Sets that agree on
-the first values share a region; within it, only those with the longest common prefix, so neighbours in the sorted order, are
-candidates, so a region is cut as deep as its density asks for and no group is ever paired with itself in full. A sketch
-throws out most chance candidates, and the rest is confirmed on the full sets. Links join into components.
+the first values share a region; within it, those with the longest common prefix, so neighbours in the sorted order, are the
+candidates of a first round. A sketch throws out most chance candidates, and the rest is confirmed on the full sets. Links join
+into components. A second round compares all sets of a region that are not in one component yet, in blocks, so a link is missed
+only if its sets share a region in no tree.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from taskspire.llm.components import components
 TREES, ROOT, DEEP, SKETCH = 16, 4, 8, 16
 #: Candidates: so many neighbours that follow in a region's order. Two sketches that agree on fewer values are no candidates.
 NEIGHBOURS, LEAST_SKETCH = 4, 6
+#: The second round's pairs of a region are made in blocks of about so many sets by so many.
+BLOCK = 1000
+#: Trees whose order the second round compares, value by value.
+FINE = 8
 #: A region of more sets is ordered in parts of about PART sets, other ones in each tree; the first LINKS of each part are ordered once more together.
 REGION, PART, LINKS = 1000, 500, 4
 _RNG = np.random.default_rng(991)
@@ -88,13 +93,17 @@ def _agreeing(a: Column, b: Column) -> Column:
     return SKETCH - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of set keys that are neighbours in some tree and whose sketches agree enough."""
+def shared_regions(signed: DataFrame) -> DataFrame:
+    """A row for each set and tree in whose region other sets are, too, with the region's number of sets."""
     sets = signed.where("set_key is not null").dropDuplicates(["set_key"])
     rows = sets.select("set_key", "sketch", F.posexplode(F.arrays_zip("regions", "orders")).alias("tree", "x")).select("set_key", "sketch", "tree", F.col("x.regions").alias("region"), F.col("x.orders").alias("order"))
     dense = rows.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.when(F.col("n") > REGION, F.ceil(F.col("n") / PART)).otherwise(F.lit(1))
-    shared = materialize(rows.join(dense, ["tree", "region"]).withColumn("part", F.pmod(F.xxhash64("set_key", "tree"), parts)), "forest")
+    return materialize(rows.join(dense, ["tree", "region"]).withColumn("part", F.pmod(F.xxhash64("set_key", "tree"), parts)), "forest")
+
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of set keys that are neighbours in some tree and whose sketches agree enough."""
 
     def neighbours(frame: DataFrame, by: list[str]) -> DataFrame:
         order = Window.partitionBy(*by).orderBy("order", "set_key")
@@ -107,6 +116,43 @@ def candidates(signed: DataFrame) -> DataFrame:
     return in_part.union(neighbours(heads, ["tree", "region"])).distinct()
 
 
+def _differing(a: Column, b: Column) -> Column:
+    """How many of two orders' values (8 bits each) differ."""
+    x = a.bitwiseXOR(b)
+    for by in (4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, by))
+    return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+
+
+def remaining_candidates(shared: DataFrame, signed: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs a < b of set keys that share a region of any size but no component of ``label``, and may resemble enough.
+
+    The sets outside a region's largest component meet all of its sets, so whatever the order kept apart is found. Regions in
+    which the first round has compared all pairs are left out, and so are pairs that sizes or orders rule out.
+    """
+    wide = shared.where(F.col("n") > NEIGHBOURS + 1).join(label.withColumnRenamed("node", "set_key"), "set_key", "left")
+    wide = materialize(wide.select("tree", "region", "set_key", F.coalesce("label", "set_key").alias("label")), "wide")
+    members = wide.groupBy("tree", "region", "label").agg(F.count("*").alias("c"))
+    mixed = members.groupBy("tree", "region").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"), (F.sum("c") - F.max("c")).alias("strays")).where("strays > 0")
+    fine = [f"o{t}" for t in range(FINE)]
+    sets = signed.where("set_key is not null").dropDuplicates(["set_key"]).select("set_key", "n_shingles", "sketch", *(F.col("orders")[t].alias(o) for t, o in enumerate(fine)))
+    across, down = F.ceil(F.col("strays") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = wide.join(mixed, ["tree", "region"]).withColumns({"across": across, "down": down}).join(sets, "set_key")
+    cell, facts = ["tree", "region", "i", "j"], ["set_key", "label", "n_shingles", "sketch", *fine]
+    at = lambda salt, most: F.pmod(F.xxhash64("set_key", F.lit(salt)), F.col(most)).cast("int")
+    each = lambda most: F.explode(F.sequence(F.lit(0), F.col(most) - 1))
+    strays = rows.where("label <> main").withColumn("i", at(1, "across")).withColumn("j", each("down")).select(*cell, *(F.col(x).alias(f"{x}_a") for x in facts))
+    others = rows.withColumn("j", at(2, "down")).withColumn("i", each("across")).select(*cell, *facts, (F.col("label") == F.col("main")).alias("is_main"))
+    # five standard deviations under what sets at the limit agree on
+    share, values = percent / 100, FINE * DEEP
+    most = values - int(values * share - 5 * (values * share * (1 - share)) ** 0.5)
+    differing = sum((_differing(F.col(f"{o}_a"), F.col(o)) for o in fine), F.lit(0))
+    other = (F.col("label_a") != F.col("label")) & (F.col("is_main") | (F.col("set_key_a") < F.col("set_key")))
+    sized = 100 * F.least("n_shingles_a", "n_shingles") >= percent * F.greatest("n_shingles_a", "n_shingles")
+    pairs = strays.join(others, cell).where(other & sized & (_agreeing(F.col("sketch_a"), F.col("sketch")) >= LEAST_SKETCH) & (differing <= most))
+    return pairs.select(F.least("set_key_a", "set_key").alias("a"), F.greatest("set_key_a", "set_key").alias("b")).distinct()
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     used = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
@@ -144,9 +190,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     Rows without words have 0 shingles and stand alone. A null doc_id sorts after all others and is its own component.
     """
     signed = materialize(sign(docs, n), "signed")
-    pairs = materialize(candidates(signed), "pairs")
-    links = confirm(pairs, docs, signed, n, percent)
-    label = components(links)
+    shared = shared_regions(signed)
+    links = materialize(confirm(materialize(candidates(shared), "pairs"), docs, signed, n, percent), "links")
+    rest = materialize(remaining_candidates(shared, signed, components(links), percent), "remaining-pairs")
+    label = components(links.union(confirm(rest, docs, signed, n, percent)))
     classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(label.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
     # written, so that the join with it is one whose large partitions can be split: a component may hold many classes

@@ -67,6 +67,35 @@ def test_large_group(spark, monkeypatch):
     assert {x["component_id"] for x in got.collect()} == {0} and got.where("kept").count() == 1
 
 
+def sparse_family(n, partners=1):
+    """Texts about one template; each resembles its own ``partners`` and no others enough."""
+    r = random.Random(12)
+    w = prose(r, 300).split()
+    out = []
+    for i in range(n):
+        v = w[:]
+        for k in range(14):
+            v[r.randrange(300)] = f"own{i}x{k}"
+        for p in range(partners + 1):
+            u = v[:]
+            for k in range(6):
+                u[r.randrange(300)] = f"late{i}x{p}x{k}"
+            out.append(" ".join(u))
+    r.shuffle(out)
+    return out
+
+
+def test_few_links_in_a_dense_region(spark, monkeypatch):
+    monkeypatch.setattr(N, "REGION", 20)
+    monkeypatch.setattr(N, "PART", 5)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    texts = sparse_family(150, 1) + sparse_family(50, 2)
+    want = brute(texts, 2, 80)
+    assert len({c for _, c in want.values()}) > 100
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_duplicates(documents(spark, texts), 2, 80).collect()}
+    assert got == want
+
+
 def test_keep_one(spark):
     texts = corpus(7, 20)
     kept = {r["doc_id"] for r in N.keep_one_of_each(documents(spark, texts), 5, 80).collect()}
