@@ -4,7 +4,7 @@ A document is its set of word shingles. Each tree of the forest sorts the sets b
 the first values share a region; within it, those with the longest common prefix, so neighbours in the sorted order, are the
 candidates of a first round. A sketch throws out most chance candidates, and the rest is confirmed on the full sets. Links join
 into components. A second round compares all sets of a region that are not in one component yet, in blocks, so a link is missed
-only if its sets share a region in no tree.
+only if its sets share a region in no tree, or by a sketch or orders that agree far less than the sets do.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ NEIGHBOURS, LEAST_SKETCH = 4, 6
 BLOCK = 1000
 #: Trees whose order the second round compares, value by value.
 FINE = 8
-#: A region of more sets is ordered in parts of about PART sets, other ones in each tree; the first LINKS of each part are ordered once more together.
+#: A region of more sets is ordered in parts of about PART sets that follow in its order; the first LINKS of each part are ordered once more together.
 REGION, PART, LINKS = 1000, 500, 4
+#: Values of the order, after those that make the region, by which a large region is cut.
+CUT = 2
 _RNG = np.random.default_rng(991)
 _K = TREES * (ROOT + DEEP) + SKETCH
 _MULTIPLY = _RNG.integers(1, 2**32, _K, dtype=np.uint32) | np.uint32(1)
@@ -98,8 +100,15 @@ def shared_regions(signed: DataFrame) -> DataFrame:
     sets = signed.where("set_key is not null").dropDuplicates(["set_key"])
     rows = sets.select("set_key", "sketch", F.posexplode(F.arrays_zip("regions", "orders")).alias("tree", "x")).select("set_key", "sketch", "tree", F.col("x.regions").alias("region"), F.col("x.orders").alias("order"))
     dense = rows.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.when(F.col("n") > REGION, F.ceil(F.col("n") / PART)).otherwise(F.lit(1))
-    return materialize(rows.join(dense, ["tree", "region"]).withColumn("part", F.pmod(F.xxhash64("set_key", "tree"), parts)), "forest")
+    shared = rows.join(dense, ["tree", "region"]).withColumn("cell", F.when(F.col("n") > REGION, F.shiftrightunsigned("order", 64 - CUT * 64 // DEEP)))
+    # cells agree on CUT more values and follow in the order: parts are runs of them, so that sets with a long common prefix stay together
+    cells = shared.where("cell is not null").groupBy("tree", "region", "cell").agg(F.count("*").alias("c"))
+    before = Window.partitionBy("tree", "region").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    runs = cells.withColumn("run", F.floor(F.coalesce(F.sum("c").over(before), F.lit(0)) / PART))
+    # a cell of more than REGION sets is dealt out; what that separates is left to the second round
+    dealt = F.xxhash64("cell", F.pmod(F.xxhash64("set_key", "tree"), F.ceil(F.col("c") / PART)))
+    part = F.coalesce(F.when(F.col("c") > REGION, dealt).otherwise(F.col("run")), F.lit(0))
+    return materialize(shared.join(runs, ["tree", "region", "cell"], "left").withColumn("part", part).drop("cell", "c", "run"), "forest")
 
 
 def candidates(shared: DataFrame) -> DataFrame:

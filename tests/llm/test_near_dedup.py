@@ -96,6 +96,14 @@ def test_few_links_in_a_dense_region(spark, monkeypatch):
     assert got == want
 
 
+def test_large_regions_are_cut_along_their_order(spark, monkeypatch):
+    monkeypatch.setattr(N, "REGION", 20)
+    monkeypatch.setattr(N, "PART", 10)
+    signed = spark.createDataFrame([(2 * i + k, 2 * i + k, 9, [7], [i * 2**49 + k], 0) for i in range(40) for k in (0, 1)], "doc_id long, set_key long, n_shingles long, regions array<long>, orders array<long>, sketch long")
+    got = {tuple(r) for r in N.candidates(N.shared_regions(signed)).collect()}
+    assert {(2 * i, 2 * i + 1) for i in range(40)} <= got
+
+
 def test_keep_one(spark):
     texts = corpus(7, 20)
     kept = {r["doc_id"] for r in N.keep_one_of_each(documents(spark, texts), 5, 80).collect()}
