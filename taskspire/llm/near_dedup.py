@@ -2,9 +2,9 @@
 
 A document is its set of word shingles. Each tree of the forest sorts the sets by a signature of its own. Sets that agree on
 the first values share a region; within it, those with the longest common prefix, so neighbours in the sorted order, are the
-candidates of a first round. A sketch throws out most chance candidates, and the rest is confirmed on the full sets. Links join
-into components. A second round compares all sets of a region that are not in one component yet, in blocks, so a link is missed
-only if its sets share a region in no tree, or by a sketch or orders that agree far less than the sets do.
+candidates of a first round, which cuts large regions deeper. A sketch throws out most chance candidates, and the rest is
+confirmed on the full sets. Links join into components. A second round compares all sets of a region that are not in one
+component yet, exactly and in bounded blocks, so a link is missed only if its sets share a region in no tree.
 """
 
 from __future__ import annotations
@@ -23,10 +23,8 @@ from taskspire.llm.components import components
 TREES, ROOT, DEEP, SKETCH = 16, 4, 8, 16
 #: Candidates: so many neighbours that follow in a region's order. Two sketches that agree on fewer values are no candidates.
 NEIGHBOURS, LEAST_SKETCH = 4, 6
-#: The second round's pairs of a region are made in blocks of about so many sets by so many.
-BLOCK = 1000
-#: Trees whose order the second round compares, value by value.
-FINE = 8
+#: The second round compares the sets of a region in blocks of about so many sets by so many, and of so many shingles on either side.
+BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
 #: A region of more sets is ordered in parts of about PART sets that follow in its order; the first LINKS of each part are ordered once more together.
 REGION, PART, LINKS = 1000, 500, 4
 #: Values of the order, after those that make the region, by which a large region is cut.
@@ -55,6 +53,10 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     return out
 
 
+def set_key_of(shingles: np.ndarray) -> int:
+    return int((mix(shingles).sum(dtype=np.uint64) ^ np.uint64(len(shingles))).view(np.int64))
+
+
 def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Of a set that isn't empty: each tree's region and order, and the sketch, as 64-bit numbers."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -79,7 +81,7 @@ def sign(docs: DataFrame, n: int) -> DataFrame:
                     keys.append(None), regions.append(None), orders.append(None), sketches.append(None)
                     continue
                 r, o, k = signature(s)
-                keys.append(int((mix(s).sum(dtype=np.uint64) ^ np.uint64(len(s))).view(np.int64)))
+                keys.append(set_key_of(s))
                 regions.append(r), orders.append(o), sketches.append(k)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(regions, longs), pa.array(orders, longs), pa.array(sketches, pa.int64())], names=["doc_id", "n_shingles", "set_key", "regions", "orders", "sketch"])
@@ -125,51 +127,94 @@ def candidates(shared: DataFrame) -> DataFrame:
     return in_part.union(neighbours(heads, ["tree", "region"])).distinct()
 
 
-def _differing(a: Column, b: Column) -> Column:
-    """How many of two orders' values (8 bits each) differ."""
-    x = a.bitwiseXOR(b)
-    for by in (4, 2, 1):
-        x = x.bitwiseOR(F.shiftrightunsigned(x, by))
-    return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+def shingles_of(docs: DataFrame, keys: DataFrame, signed: DataFrame, n: int) -> DataFrame:
+    """set_key and the set itself, as the bytes of its sorted 64-bit hashes, for each of ``keys`` (set_key)."""
+    texts = texts_of(docs, keys, signed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(as_bytes(batch.column(1)), n)
+            own = [i for i, (k, s) in enumerate(zip(batch.column(0).to_pylist(), sets, strict=True)) if k == set_key_of(s)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["set_key", "shingles"])
+
+    return map_arrow(texts.select("set_key", "text"), run, "set_key long, shingles binary").dropDuplicates(["set_key"])
+
+
+def links_of_block(key: np.ndarray, label: np.ndarray, stray: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the strays of a block and all its other sets, as few as join what they join: exact, by size of intersection."""
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    key, label, stray, sets = key[order], label[order], stray[order], [sets[i] for i in order]
+    size = np.array([len(x) for x in sets])
+    ids, inverse, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = seen[inverse] > 1  # what only one set has is in no intersection
+    owner = np.repeat(np.arange(len(sets)), size)[common]
+    token, first = inverse[common], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sets)))])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = root[x]
+        return x
+
+    out, mark = [], np.zeros(len(ids) + 1, np.int32)
+    for i in np.flatnonzero(stray):
+        own = token[first[i] : first[i + 1]]
+        # sets of a size that may resemble this one enough
+        low, high = np.searchsorted(size, -(-size[i] * percent // 100)), np.searchsorted(size, size[i] * 100 // percent, "right")
+        mark[own] = 1
+        total = np.concatenate([[0], np.cumsum(mark[token[first[low] : first[high]]])])
+        both = np.diff(total[first[low : high + 1] - first[low]])
+        mark[own] = 0
+        for j in low + np.flatnonzero(100 * both >= percent * (size[i] + size[low:high] - both)):
+            x, y = find(int(label[i])), find(int(label[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(min(key[i], key[j])), int(max(key[i], key[j]))))
+    return out
 
 
-def remaining_candidates(shared: DataFrame, signed: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b of set keys that share a region of any size but no component of ``label``, and may resemble enough.
+def remaining_links(shared: DataFrame, docs: DataFrame, signed: DataFrame, label: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links a < b of set keys that share a region of any size but no component of ``label``: as few as join the components.
 
-    The sets outside a region's largest component meet all of its sets, so whatever the order kept apart is found. Regions in
-    which the first round has compared all pairs are left out, and so are pairs that sizes or orders rule out.
+    The sets outside a region's largest component, its strays, meet all of its sets, so whatever the order kept apart is
+    found. Regions in which the first round has compared all pairs are left out. A region is dealt into blocks of bounded
+    sets and bytes; a block's task compares its sets as they are and returns links only, never pairs that fail.
     """
     wide = shared.where(F.col("n") > NEIGHBOURS + 1).join(label.withColumnRenamed("node", "set_key"), "set_key", "left")
-    wide = materialize(wide.select("tree", "region", "set_key", F.coalesce("label", "set_key").alias("label")), "wide")
-    members = wide.groupBy("tree", "region", "label").agg(F.count("*").alias("c"))
-    mixed = members.groupBy("tree", "region").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"), (F.sum("c") - F.max("c")).alias("strays")).where("strays > 0")
-    fine = [f"o{t}" for t in range(FINE)]
-    sets = signed.where("set_key is not null").dropDuplicates(["set_key"]).select("set_key", "n_shingles", "sketch", *(F.col("orders")[t].alias(o) for t, o in enumerate(fine)))
-    across, down = F.ceil(F.col("strays") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = wide.join(mixed, ["tree", "region"]).withColumns({"across": across, "down": down}).join(sets, "set_key")
-    cell, facts = ["tree", "region", "i", "j"], ["set_key", "label", "n_shingles", "sketch", *fine]
+    sizes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("n_shingles").alias("size"))
+    wide = materialize(wide.select("tree", "region", "set_key", F.coalesce("label", "set_key").alias("label")).join(sizes, "set_key"), "wide")
+    members = wide.groupBy("tree", "region", "label").agg(F.count("*").alias("c"), F.sum("size").alias("size"))
+    mixed = members.groupBy("tree", "region").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"), (F.sum("c") - F.max("c")).alias("strays"), F.sum("size").alias("size"), F.max_by("size", F.struct("c", "label")).alias("main_size")).where("strays > 0")
+    blocks = lambda sets, size: F.ceil(F.greatest(F.col(sets) / BLOCK, size / BLOCK_SHINGLES)).cast("int")
+    mixed = mixed.select("tree", "region", "main", blocks("strays", F.col("size") - F.col("main_size")).alias("across"), blocks("n", F.col("size")).alias("down"))
+    rows = materialize(wide.join(mixed, ["tree", "region"]).drop("size"), "strays")
+    sets = materialize(shingles_of(docs, rows.select("set_key").distinct(), signed, n), "sets")
     at = lambda salt, most: F.pmod(F.xxhash64("set_key", F.lit(salt)), F.col(most)).cast("int")
     each = lambda most: F.explode(F.sequence(F.lit(0), F.col(most) - 1))
-    strays = rows.where("label <> main").withColumn("i", at(1, "across")).withColumn("j", each("down")).select(*cell, *(F.col(x).alias(f"{x}_a") for x in facts))
-    others = rows.withColumn("j", at(2, "down")).withColumn("i", each("across")).select(*cell, *facts, (F.col("label") == F.col("main")).alias("is_main"))
-    # five standard deviations under what sets at the limit agree on
-    share, values = percent / 100, FINE * DEEP
-    most = values - int(values * share - 5 * (values * share * (1 - share)) ** 0.5)
-    differing = sum((_differing(F.col(f"{o}_a"), F.col(o)) for o in fine), F.lit(0))
-    other = (F.col("label_a") != F.col("label")) & (F.col("is_main") | (F.col("set_key_a") < F.col("set_key")))
-    sized = 100 * F.least("n_shingles_a", "n_shingles") >= percent * F.greatest("n_shingles_a", "n_shingles")
-    pairs = strays.join(others, cell).where(other & sized & (_agreeing(F.col("sketch_a"), F.col("sketch")) >= LEAST_SKETCH) & (differing <= most))
-    return pairs.select(F.least("set_key_a", "set_key").alias("a"), F.greatest("set_key_a", "set_key").alias("b")).distinct()
+    cell = ["tree", "region", "i", "j"]
+    strays = rows.where("label <> main").withColumn("i", at(1, "across")).withColumn("j", each("down")).select(*cell, "set_key", "label", F.lit(1).alias("stray"))
+    others = rows.withColumn("j", at(2, "down")).withColumn("i", each("across")).select(*cell, "set_key", "label", F.lit(0).alias("stray"))
+    # a stray that is in both parts of a block comes once
+    dealt = strays.union(others).groupBy(*cell, "set_key").agg(F.max("label").alias("label"), F.max("stray").alias("stray")).join(sets, "set_key")
+
+    def run(block: pa.Table) -> pa.Table:
+        held = [np.frombuffer(x, np.uint64) for x in block.column("shingles").to_pylist()]
+        found = links_of_block(*(block.column(c).to_numpy() for c in ("set_key", "label", "stray")), held, percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return dealt.groupBy(*cell).applyInArrow(run, "a long, b long").distinct()
+
+
+def texts_of(docs: DataFrame, keys: DataFrame, signed: DataFrame) -> DataFrame:
+    """set_key, n and text of one document for each of ``keys`` (set_key). Where a doc_id stands in several rows, all their texts come: the caller tells them apart by their sets' keys."""
+    owners = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n")).join(keys, "set_key")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(owners) if fits_broadcast(owners, 24) else owners, "doc_id").select("set_key", "n", "text")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
-    used = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
-    first = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"))
-    owners = first.join(used, "set_key")
-    # a document id may stand in several rows: its texts are told apart by their sets' keys, found anew below
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(owners) if fits_broadcast(owners, 24) else owners, "doc_id").select("set_key", "n", "text")
-    texts = materialize(texts, "candidate-texts")
+    texts = materialize(texts_of(docs, pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct(), signed), "candidate-texts")
     left, right = texts.select(F.col("set_key").alias("a"), F.col("text").alias("text_a"), F.col("n").alias("n_a")), texts.select(F.col("set_key").alias("b"), F.col("text").alias("text_b"), F.col("n").alias("n_b"))
     # the sets' sizes alone rule some pairs out
     joined = pairs.join(left, "a").join(right, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "text_a", "text_b")
@@ -185,6 +230,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, percen
                 sides = [list(zip(part.column(c).to_pylist(), as_bytes(part.column(c + 2)), strict=True)) for c in (0, 1)]
                 good = []
                 for x, y in zip(*sides, strict=True):
+                    if set_key_of(sets[x]) != x[0] or set_key_of(sets[y]) != y[0]:
+                        good.append(False)
+                        continue
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     good.append(100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
                 yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
@@ -201,8 +249,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     signed = materialize(sign(docs, n), "signed")
     shared = shared_regions(signed)
     links = materialize(confirm(materialize(candidates(shared), "pairs"), docs, signed, n, percent), "links")
-    rest = materialize(remaining_candidates(shared, signed, components(links), percent), "remaining-pairs")
-    label = components(links.union(confirm(rest, docs, signed, n, percent)))
+    label = materialize(components(links), "first-components")
+    label = components(links.union(materialize(remaining_links(shared, docs, signed, label, n, percent), "remaining-links")))
     classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(label.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
     # written, so that the join with it is one whose large partitions can be split: a component may hold many classes

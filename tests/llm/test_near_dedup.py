@@ -96,6 +96,50 @@ def test_few_links_in_a_dense_region(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("n, edits", [(400, 4), (900, 5)])
+def test_family_of_borderline_members(n, edits, spark):
+    """Each pair is near the limit, so links are few among many comparisons."""
+    r = random.Random(3)
+    w, texts = prose(r, 100).split(), []
+    for i in range(n):
+        v = w[:]
+        for k in r.sample(range(100), edits):
+            v[k] = f"e{i}x{k}"
+        texts.append(" ".join(v))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_duplicates(documents(spark, texts), 2, 80).collect()}
+    assert got == brute(texts, 2, 80)
+
+
+def test_block_against_brute_force():
+    import numpy as np
+
+    r = np.random.default_rng(8)
+    base = r.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.where(r.random(60) < 0.08, r.integers(0, 2**63, 60).astype(np.uint64), base)) for _ in range(60)]
+    key, stray = np.arange(60) * 7, np.arange(60) % 3 > 0
+    links = {(a // 7, b // 7) for a, b in N.links_of_block(key, key, stray, sets, 80)}
+    near = {(i, j) for i in range(60) for j in range(i + 1, 60) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert links <= near
+
+    def parts(edges):
+        root = list(range(60))
+        for _ in range(60):
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert parts(links) == parts({(i, j) for i, j in near if stray[i] or stray[j]})
+
+
+def test_equal_ids_with_other_texts(spark):
+    """A doc_id with two texts doesn't lend one of them to the other's set."""
+    r = random.Random(2)
+    a, b = prose(r, 80), prose(r, 80)
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a + " more"), (3, b + " more")], "doc_id long, text string")
+    got = sorted(tuple(x) for x in N.near_duplicates(docs, 2, 80).select("doc_id", "n_shingles", "component_id").collect())
+    assert [x[0] for x in got] == [1, 1, 2, 3] and {x[2] for x in got} == {1}
+
+
 def test_large_regions_are_cut_along_their_order(spark, monkeypatch):
     monkeypatch.setattr(N, "REGION", 20)
     monkeypatch.setattr(N, "PART", 10)
