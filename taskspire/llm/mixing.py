@@ -1,14 +1,17 @@
 """Operator 3, mixing sources to target weights by soft membership, with DataFrame functions only.
 
-A naive Bayes classifier learned from the labelled table gives each document its probabilities of the domains good, poor and
-toxic. Rates for the documents are then fitted by projected-gradient least squares, so that the expected tokens of each
-domain (rate * tokens * probability, over all documents) meet the targets; no rate is negative.
+A classifier learned from the labelled table gives each document its probabilities of the domains good, poor and toxic: the
+weights of hashed terms (log-odds by domain, less their uncertainty) are added up, and naive Bayes over their sums and a few
+statistics of the text turns them into probabilities. Rates for the documents are then fitted by projected-gradient least
+squares, so that the expected tokens of each domain (rate * tokens * probability, over all documents) meet the targets; no
+rate is negative. A rate over 1 takes a document more than once.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+import warnings
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +23,16 @@ DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.87, "poor": 0.12, "toxic": 0.01}
 #: The classifier is fitted on about so many labelled rows, picked by a hash of doc_id.
 TRAIN_ROWS = 20_000
-#: Words are taken as marks of toxicity if at least so many toxic documents have them, with such odds; at most so many words.
-LEAST_TOXIC, LEAST_ODDS, LEXICON = 4, 8.0, 200
-#: The highest rate: 1 takes each document at most once.
-MOST_RATE = 1.0
+#: Words are hashed into so many terms. A term weighs its log-odds less so many standard errors, and nothing if that leaves none.
+TERMS, CAUTION = 1 << 16, 3.0
+#: The highest rate; None: rates are only kept from being negative, so targets are met as long as every domain has tokens.
+MOST_RATE: float | None = None
 #: Rounds of the fit, and the relative residual at which it ends.
 ROUNDS, TOLERANCE = 40, 1e-6
 #: It also ends when a step lessens the squared residual by this share only, or none does under so much damping.
 SETTLED, MOST_DAMPING = 1e-4, 1e3
+#: What separates words, besides white space.
+PUNCTUATION = ".,;:!?\"'()[]{}|*%$#&"
 MARKS = ("!", "*", "|", "%", "$", "#", "&")
 
 
@@ -37,67 +42,98 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def _words() -> Column:
-    return F.filter(F.split(F.translate("text", "\n\t\r", "   "), " "), lambda w: w != "")
+    separators = "\n\t\r" + PUNCTUATION
+    return F.filter(F.split(F.translate(F.lower("text"), separators, " " * len(separators)), " "), lambda w: w != "")
 
 
-def statistics(lexicon: Sequence[str]) -> Column:
-    """n_tokens of a text, and ``bins``, small whole numbers that describe it: size, kinds of marks, repetition, words of the lexicon."""
+def _terms(words: Column) -> Column:
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(TERMS)).cast("int"))
+
+
+def _numbers(values: list[float], kind: str) -> Column:
+    """An array of many constants; the optimizer folds it into one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+
+
+#: For each of the two questions, toxic or not, poor or good: the weight of the terms that have one.
+Weights = tuple[dict[int, float], dict[int, float]]
+#: Bins of each statistic.
+BINS, KINDS = 8, 8
+
+
+def statistics(weights: Weights) -> Column:
+    """n_tokens of a text, and ``bins``, small whole numbers that describe it: size, kinds of marks, repetition, sums of its terms' weights."""
     size = F.greatest(F.octet_length("text"), F.lit(1))
-    share = lambda c: F.coalesce(size - F.octet_length(F.replace(F.col("text"), F.lit(c), F.lit(""))), F.lit(0))
+    share = lambda c: F.coalesce(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit(c), F.lit(""))), F.lit(0))
     step = lambda x, *edges: let(x, lambda v: sum((F.when(v >= e, 1).otherwise(0) for e in edges), F.lit(0)))
     marks = sum((share(c) for c in MARKS[1:]), F.lit(0))
-    listed = F.array(*map(F.lit, lexicon)) if lexicon else F.array().cast("array<string>")
     words = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(_words())
-    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), F.size(F.array_intersect(listed, w)).alias("listed"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
+    # distinct terms of the text that weigh anything, few of all
+    listed = sorted({*weights[0], *weights[1]})
+    place = _numbers(listed, "int")
+    at = {t: i for i, t in enumerate(listed)}
+    tables = [_numbers([own.get(t, 0.0) for t in listed], "double") for own in weights]
+    total = lambda hits, table: F.aggregate(hits, F.lit(0.0), lambda a, t: a + F.get(table, (F.array_position(place, t) - 1).cast("int")) if at else a)
+    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), F.array_intersect(place, _terms(w)).alias("hits"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
+    scored = let(counts, lambda c: F.struct(c["all"].alias("all"), c["kinds"].alias("kinds"), c["calls"].alias("calls"), c["marks"].alias("marks"), total(c["hits"], tables[0]).alias("toxic"), total(c["hits"], tables[1]).alias("poor")))
     n = lambda c: F.greatest(c["all"], F.lit(1))
-    return let(counts, lambda c: F.struct(c["all"].alias("n_tokens"), F.array(
+    return let(scored, lambda c: F.struct(c["all"].alias("n_tokens"), F.array(
         step(c["all"], 20, 100, 500, 2000),
         step(c["calls"], 0.0005, 0.005, 0.05),
         step(c["marks"], 0.0005, 0.005, 0.02, 0.1),
         # repetition for a text of its size
         step(0.85 * F.log(n(c)) - F.log(F.greatest(c["kinds"], F.lit(1))), -0.5, -0.25, 0.0, 0.25, 0.75, 1.5),
-        step(c["listed"], 1, 2, 3, 5),
-        step(c["listed"] / n(c), 0.0005, 0.002, 0.005, 0.02),
+        step(c["toxic"], -4, -1, 0.25, 1, 2, 4, 8),
+        step(c["toxic"] / n(c), 0.001, 0.004, 0.01, 0.03, 0.1),
+        step(c["poor"], -8, -4, -1, 0.25, 1, 4, 8),
+        step(c["poor"] / n(c), -0.02, -0.005, 0.005, 0.02, 0.1),
     ).alias("bins")))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> DataFrame:
-    """text and domain of about ``most_rows`` labelled documents."""
-    named = labels.where("quality is not null and toxic is not null").select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor").alias("domain")).dropDuplicates(["doc_id"])
+    """text and domain of about ``most_rows`` labelled documents. Of several label rows of one document, toxic wins, then poor."""
+    rows = labels.where("quality is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    named = rows.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor").alias("domain"))
     n = named.count()
     if n > most_rows:
         named = named.where(F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1_000_000)) < int(1_000_000 * most_rows / n))
     return docs.select("doc_id", "text").join(F.broadcast(named) if fits_broadcast(named, 32) else named, "doc_id").select("text", "domain")
 
 
-def toxic_words(sample: DataFrame) -> list[str]:
-    """The words that mark toxic documents of the sample; at most LEXICON, the most frequent first."""
+def term_weights(sample: DataFrame) -> Weights:
+    """What each term says on either question: its log-odds, moved towards 0 by CAUTION standard errors. At most TERMS rows are read."""
     sizes = dict(sample.groupBy("domain").count().collect())
-    toxic, other = sizes.get("toxic", 0), sum(v for k, v in sizes.items() if k != "toxic")
-    if not toxic or not other:
-        return []
-    seen = sample.where("text is not null").select("domain", F.explode(F.array_distinct(_words())).alias("w")).groupBy("w")
-    counts = seen.agg(F.count(F.when(F.col("domain") == "toxic", 1)).alias("a"), F.count(F.when(F.col("domain") != "toxic", 1)).alias("b"))
-    odds = (F.col("a") + 0.5) / (toxic + 1.0) / ((F.col("b") + 0.5) / (other + 1.0))
-    return [r[0] for r in counts.where((F.col("a") >= LEAST_TOXIC) & (odds >= LEAST_ODDS)).orderBy(F.desc("a"), "w").limit(LEXICON).collect()]
+    seen = sample.where("text is not null").select("domain", F.explode(F.array_distinct(_terms(_words()))).alias("t")).groupBy("t")
+    counts = seen.agg(*(F.count(F.when(F.col("domain") == d, 1)).alias(d) for d in DOMAINS)).collect()
+    out: Weights = ({}, {})
+    for own, these, others in zip(out, (("toxic",), ("poor",)), (("good", "poor"), ("good",)), strict=True):
+        n_these, n_others = (sum(sizes.get(d, 0) for d in x) for x in (these, others))
+        if not n_these or not n_others:
+            continue
+        for r in counts:
+            a, b = (sum(r[d] for d in x) + 0.5 for x in (these, others))
+            c, d = n_these + 1 - a, n_others + 1 - b
+            odds, error = math.log(a / c) - math.log(b / d), math.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+            if abs(odds) > CAUTION * error:
+                own[r["t"]] = round(math.copysign(abs(odds) - CAUTION * error, odds), 4)
+    return out
 
 
-Model = tuple[list[str], dict[str, float], dict[tuple[int, int, str], float]]
+Model = tuple[Weights, dict[str, float], dict[tuple[int, int, str], float]]
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """The lexicon, the log prior of each domain, and the log probability of each bin of each statistic in each domain. None if no document is labelled."""
+    """The terms' weights, the log prior of each domain, and the log probability of each bin of each statistic in each domain. None if no document is labelled."""
     sample = materialize(labelled(docs, labels), "mix-sample")
-    lexicon = toxic_words(sample)
-    counted = sample.select("domain", F.posexplode(statistics(lexicon)["bins"]).alias("i", "bin")).groupBy("domain", "i", "bin").count().collect()  # some tens of rows
+    weights = term_weights(sample)
+    counted = sample.select("domain", F.posexplode(statistics(weights)["bins"]).alias("i", "bin")).groupBy("domain", "i", "bin").count().collect()  # some tens of rows
     sizes = {d: sum(r["count"] for r in counted if r["domain"] == d and r["i"] == 0) for d in DOMAINS}
     total = sum(sizes.values())
     if not total:
         return None
     prior = {d: math.log((sizes[d] + 1) / (total + len(DOMAINS))) for d in DOMAINS}
     seen = {(r["i"], r["bin"], r["domain"]): r["count"] for r in counted}
-    bins = {(i, b) for i in range(6) for b in range(8)}
-    return lexicon, prior, {(i, b, d): math.log((seen.get((i, b, d), 0) + 0.5) / (sizes[d] + 4)) for i, b in bins for d in DOMAINS}
+    return weights, prior, {(i, b, d): math.log((seen.get((i, b, d), 0) + 0.5) / (sizes[d] + 4)) for i in range(KINDS) for b in range(BINS) for d in DOMAINS}
 
 
 def with_posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -111,10 +147,10 @@ def posteriors(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def posterior(model: Model | None) -> Column:
     """n_tokens of a text and the array p of its domains' probabilities, as one struct; all alike where nothing was learned."""
-    lexicon, prior, table = model or ([], dict.fromkeys(DOMAINS, 0.0), {(i, b, d): 0.0 for i in range(6) for b in range(8) for d in DOMAINS})
-    rows = {d: F.array(*(F.array(*(F.lit(table[i, b, d]) for b in range(8))) for i in range(6))) for d in DOMAINS}
-    score = lambda x, d: sum((F.get(F.get(rows[d], F.lit(i)), F.get(x["bins"], F.lit(i))) for i in range(6)), F.lit(prior[d]))
-    scored = let(statistics(lexicon), lambda x: F.struct(x["n_tokens"].alias("n_tokens"), F.array(*(score(x, d) for d in DOMAINS)).alias("s")))
+    weights, prior, table = model or (({}, {}), dict.fromkeys(DOMAINS, 0.0), {(i, b, d): 0.0 for i in range(KINDS) for b in range(BINS) for d in DOMAINS})
+    rows = {d: F.array(*(F.array(*(F.lit(table[i, b, d]) for b in range(BINS))) for i in range(KINDS))) for d in DOMAINS}
+    score = lambda x, d: sum((F.get(F.get(rows[d], F.lit(i)), F.get(x["bins"], F.lit(i))) for i in range(KINDS)), F.lit(prior[d]))
+    scored = let(statistics(weights), lambda x: F.struct(x["n_tokens"].alias("n_tokens"), F.array(*(score(x, d) for d in DOMAINS)).alias("s")))
     scaled = let(scored, lambda x: F.struct(x["n_tokens"].alias("n_tokens"), F.transform(x["s"], lambda v: F.exp(v - F.array_max(x["s"]))).alias("e")))
     total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
     return let(scaled, lambda x: F.struct(x["n_tokens"].alias("n_tokens"), let(total(x["e"]), lambda t: F.transform(x["e"], lambda v: v / t)).alias("p")))
@@ -192,6 +228,8 @@ def fit_rates(rows: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: f
         moved, now, inner, least, residual, damping = tried, then, free, less, rest, damping / 5
         if settled:
             break
+    else:
+        warnings.warn(f"the fit of rates has not settled in {ROUNDS} rounds: residual {residual}", stacklevel=2)
     return moved, {d: (now[i], target[i]) for i, d in enumerate(DOMAINS)}
 
 
@@ -205,23 +243,38 @@ def copies(rate: Column, chance: Column) -> Column:
     return let(rate, lambda r: (F.floor(r) + F.when(chance < r - F.floor(r), 1).otherwise(0)).cast("int"))
 
 
+def token_sums(rows: DataFrame) -> DataFrame:
+    """The tokens of ``rows`` (n_tokens, p_*) by their probabilities. Bins make probabilities, so there are only so many of them, whatever the corpus, and the fit's rounds read these sums alone."""
+    p = [f"p_{d}" for d in DOMAINS]
+    return materialize(rows.groupBy(*p).agg(F.sum("n_tokens").alias("n_tokens")).repartition(1), "mix-sums")
+
+
+def highest(sums: DataFrame, moved: list[float]) -> float:
+    return sums.agg(F.max(rate_of(moved, None))).first()[0] or 0.0
+
+
 def rated(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE) -> DataFrame:
     """doc_id, n_tokens, p_good, p_poor, p_toxic, rate and copies of each row of ``docs``. Null or empty text: 0 tokens. Equal rows get equal rates. Without a labelled document all domains are alike likely and all rates 1."""
     model = learn(docs, labels)
     rows = materialize(posteriors(docs.select("doc_id", "text"), model).withColumn("chance", chance()).drop("text"), "mix-rows")
-    rate = rate_of(fit_rates(rows, weights, most_rate)[0] if model else [0.0] * len(DOMAINS), most_rate)
+    rate = rate_of(fit_rates(token_sums(rows), weights, most_rate)[0] if model else [0.0] * len(DOMAINS), most_rate)
     return rows.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("chance"))).drop("chance")
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE) -> DataFrame:
-    """The mixing stage: each document as often as its copies say; columns as in ``docs``. The probabilities are made once more for it rather than joined to the texts."""
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE, repeat: bool = True) -> DataFrame:
+    """The mixing stage: each document as often as its copies say; columns as in ``docs``.
+
+    Without ``repeat`` all rates are divided by the highest if that is over 1, so the shares stay as they are and no document
+    is taken twice. The probabilities are made once more for it rather than joined to the texts.
+    """
     model = learn(docs, labels)
     if not model:
         return docs
-    numbers = materialize(posteriors(docs.select("text"), model).drop("text"), "mix-rows")
-    moved = fit_rates(numbers, weights, most_rate)[0]
-    taken = let(posterior(model)["p"], lambda p: copies(rate_of(moved, most_rate, p), chance()))
-    if most_rate is not None and most_rate <= 1:
+    sums = token_sums(posteriors(docs.select("text"), model).drop("text"))
+    moved = fit_rates(sums, weights, most_rate)[0]
+    most = 1.0 if repeat else max(1.0, highest(sums, moved))
+    taken = let(posterior(model)["p"], lambda p: copies(rate_of(moved, most_rate, p) / most, chance()))
+    if not repeat or (most_rate is not None and most_rate <= 1):
         return docs.where(taken > 0)
     return docs.withColumn("_again", F.explode(F.array_repeat(F.lit(1), taken))).drop("_again")
 

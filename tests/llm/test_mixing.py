@@ -48,6 +48,90 @@ def test_classifier(spark):
     assert held.where(F.abs(F.col("p_good") + F.col("p_poor") + F.col("p_toxic") - 1) > 1e-9).count() == 0
 
 
+def brute_posteriors(texts, labels):
+    """The classifier in plain Python: terms, their weights, bins, naive Bayes."""
+    import math
+
+    import xxhash
+
+    def words(t):
+        return (t or "").lower().translate(str.maketrans("\n\t\r" + M.PUNCTUATION, " " * (3 + len(M.PUNCTUATION)))).split(" ")
+
+    all_words = [[w for w in words(t) if w] for t in texts]
+    hashed = [{int.from_bytes(xxhash.xxh64(w, seed=42).digest(), "big", signed=True) % M.TERMS for w in ws} for ws in all_words]
+    sample = [(i, "toxic" if x else "good" if q else "poor") for i, (q, x) in labels.items()]
+    weights = [{}, {}]
+    for own, these, others in zip(weights, (("toxic",), ("poor",)), (("good", "poor"), ("good",)), strict=True):
+        na, nb = (sum(d in x for _, d in sample) for x in (these, others))
+        for t in set().union(*(hashed[i] for i, _ in sample)):
+            a, b = (sum(t in hashed[i] for i, d in sample if d in x) + 0.5 for x in (these, others))
+            odds = math.log(a / (na + 1 - a)) - math.log(b / (nb + 1 - b))
+            error = math.sqrt(1 / a + 1 / b + 1 / (na + 1 - a) + 1 / (nb + 1 - b))
+            if abs(odds) > M.CAUTION * error:
+                own[t] = round(math.copysign(abs(odds) - M.CAUTION * error, odds), 4)
+
+    def bins(i):
+        t, n, size = texts[i] or "", len(all_words[i]), max(1, len((texts[i] or "").encode()))
+        sums = [sum(w.get(h, 0.0) for h in hashed[i]) for w in weights]
+        step = lambda x, *edges: sum(x >= e for e in edges)
+        return [
+            step(n, 20, 100, 500, 2000), step(t.count("!") / size, 0.0005, 0.005, 0.05), step(sum(t.count(c) for c in M.MARKS[1:]) / size, 0.0005, 0.005, 0.02, 0.1),
+            step(0.85 * math.log(max(n, 1)) - math.log(max(len(set(all_words[i])), 1)), -0.5, -0.25, 0.0, 0.25, 0.75, 1.5), step(sums[0], -4, -1, 0.25, 1, 2, 4, 8), step(sums[0] / max(n, 1), 0.001, 0.004, 0.01, 0.03, 0.1),
+            step(sums[1], -8, -4, -1, 0.25, 1, 4, 8), step(sums[1] / max(n, 1), -0.02, -0.005, 0.005, 0.02, 0.1),
+        ]
+
+    rows = [bins(i) for i in range(len(texts))]
+    out = []
+    for i in range(len(texts)):
+        e = []
+        for d in M.DOMAINS:
+            own = [rows[k] for k, x in sample if x == d]
+            s = math.log((len(own) + 1) / (len(sample) + 3)) + sum(math.log((sum(r[j] == rows[i][j] for r in own) + 0.5) / (len(own) + 4)) for j in range(M.KINDS))
+            e.append(s)
+        z = [math.exp(x - max(e)) for x in e]
+        out.append([x / sum(z) for x in z])
+    return out, [len(w) for w in all_words], weights
+
+
+def test_posteriors_against_brute_force(spark):
+    r = random.Random(6)
+    texts, labels = [None, "", "!!! ***"], {0: (0, 0), 1: (1, 0), 2: (0, 1)}
+    for i in range(3, 160):
+        kind = r.choice(("good", "poor", "toxic"))
+        w = [f"w{r.randint(0, 60)}" for _ in range(r.randint(5, 60))]
+        w += {"good": ["Fine", "kind,"], "poor": ["buy", "now!!"], "toxic": ["awful.", "vile"]}[kind] * r.randint(1, 3)
+        r.shuffle(w)
+        texts.append(" ".join(w))
+        if i % 4:
+            labels[i] = (int(kind != "poor"), int(kind == "toxic"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame([(i, q, x) for i, (q, x) in labels.items()] + [(3, None, 1)], "doc_id long, quality int, toxic int")
+    want, n, weights = brute_posteriors(texts, labels)
+    assert weights[0] and weights[1] and M.learn(docs, table)[0] == tuple(weights)
+    for x in M.with_posteriors(docs, table).collect():
+        assert x["n_tokens"] == n[x["doc_id"]] and np.allclose([x["p_good"], x["p_poor"], x["p_toxic"]], want[x["doc_id"]], atol=1e-9)
+
+
+def test_targets_are_met(spark, small):
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    sums = M.rated(docs, labels).agg(*(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")) for d in M.DOMAINS), F.min("rate")).first()
+    assert sums[3] >= 0
+    for x, d in zip(sums[:3], M.DOMAINS, strict=True):
+        assert abs(x / sum(sums[:3]) - M.WEIGHTS[d]) < 1e-3 * M.WEIGHTS[d], d
+
+
+def test_stage_without_repeats(spark, small):
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    got = M.mix(docs, labels, repeat=False)
+    assert got.groupBy("doc_id").count().where("count > 1").count() == 0 and 0 < got.count() <= docs.count()
+
+
+def test_conflicting_labels(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, 1), (2, 1, 0), (3, 1, 0), (3, 1, None)], "doc_id long, quality int, toxic int")
+    assert dict(map(tuple, M.labelled(docs, labels).collect())) == {"a": "poor", "b": "toxic", "c": "good"}
+
+
 def test_copies(spark):
     df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit(1.3).alias("r"))
     got = [x[0] for x in df.select(M.copies(F.col("r"), M.chance())).collect()]
