@@ -27,7 +27,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), repeat=False)
 
 
 def deal_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ STAGES = [
     ("mixing", mix_to_weights),
     ("sharding", deal_into_shards),
 ]
-#: Language profiles, the forest and the fit aren't SQL; the tests hold the stages against brute force.
+#: Language profiles, the forest and the fit aren't SQL; the tests hold each operator, and the stages that filter, against brute force.
 ORACLE_SQL = None
 
 
