@@ -2,12 +2,16 @@
 
 Three base patterns are matched as they stand. Beyond them, every run of 20 or more token characters is put to a battery of
 randomness tests over its inferred encoding: chi-squared uniformity of the alphabet, runs about the alphabet's middle, serial
-correlation. A run counts as random if no test rejects it and if ordinary text would hardly change between lower case, upper
-case, digits and marks as often as it does; for the latter, false discoveries are controlled within each class of length.
+correlation. Their p-values are combined by Fisher's method, and within each class of length false discoveries are controlled
+over them: what is found not to be random goes. Of the rest, a run counts as random if ordinary writing would hardly make it,
+by its likelihood ratio to a model of writing (letters by their frequency, digits that repeat or count up, few changes
+between lower case, upper case, digits and marks); there, too, false discoveries are controlled by class of length.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,10 +41,24 @@ ENCODINGS = (
     ("base64url", "^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
 )
 ANY_ALPHABET = UPPER + LOWER + DIGITS + "+/-_="
-#: A test rejects beyond so many standard deviations.
-Z_LIMIT = 4.0
-#: Share of neighbours in ordinary text that differ in class, share of false discoveries allowed, and steps of log10 p.
-TEXT_CHANGE, FDR, STEP = 0.02, 0.01, 0.05
+#: The share of each letter in writing, in per mille, a to z.
+LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+#: In writing: the share of neighbours that differ in class; of neighbouring digits, the shares that are equal and that differ by 1.
+TEXT_CHANGE, SAME_DIGIT, NEXT_DIGIT = 0.02, 0.4, 0.2
+#: Share of false discoveries allowed in either direction, steps of log10 p, and the least log10 p that is told apart.
+FDR, STEP, FLOOR = 0.01, 0.05, -300.0
+# The rational approximation of the complementary error function (absolute error under 1.5e-7).
+ERFC_P, ERFC = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+
+def log_tail(z: Column) -> Column:
+    """ln of the two-sided tail of the normal distribution."""
+    x = F.abs(z) / math.sqrt(2.0)
+    t = 1.0 / (1.0 + ERFC_P * x)
+    poly = F.lit(0.0)
+    for c in reversed(ERFC):
+        poly = (poly + c) * t
+    return F.least(F.lit(0.0), F.log(poly) - x * x)
 
 
 def _matches(pattern: str, kind: str, group: int) -> Column:
@@ -78,63 +96,91 @@ def positions(matches: DataFrame) -> DataFrame:
 
 
 def battery(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (token) with encoding, z_chi, z_runs, z_serial and log_p, the log10 of a bound on ordinary text's probability of so many changes of class."""
+    """``tokens`` (token) with n, encoding, z_chi, z_runs, z_serial, and log10 of two p-values: log_random of the battery, for a random token, and log_text, a bound for writing."""
     body = F.regexp_replace("token", "=+$", "")
     named, letters = F.lit("mixed"), F.lit(ANY_ALPHABET)
     for name, pattern, alphabet in reversed(ENCODINGS):
         fits = F.col("body").rlike(pattern)
         named, letters = F.when(fits, name).otherwise(named), F.when(fits, alphabet).otherwise(letters)
     t = tokens.withColumn("body", F.when(F.length(body) > 0, body).otherwise(F.col("token")))
-    t = t.withColumns({"encoding": named, "letters": letters}).withColumns({"n": F.length("body").cast("double"), "k": F.length("letters").cast("double")})
-    squares = F.aggregate(F.split("letters", ""), F.lit(0.0), lambda a, c: a + F.pow(F.length("body") - F.length(F.replace(F.col("body"), c, F.lit(""))), 2))
+    t = t.withColumns({"encoding": named, "letters": letters}).withColumns({"n": F.length("body").cast("double"), "k": F.length("letters").cast("double"), "chars": F.split("body", "")})
+    squares = F.aggregate(F.split("letters", ""), F.lit(0.0), lambda a, c: a + F.pow(F.length("body") - F.length(F.replace(F.col("body"), c, F.lit(""))), F.lit(2.0)))
     half = F.floor(F.col("k") / 2).cast("int")
-    sides = F.array_join(F.transform(F.split("body", ""), lambda c: F.when(F.instr(F.col("letters"), c) > half, "1").otherwise("0")), "")
-    codes = F.transform(F.split("body", ""), lambda c: F.instr(F.col("letters"), c).cast("double"))
+    sides = F.array_join(F.transform("chars", lambda c: F.when(F.instr(F.col("letters"), c) > half, "1").otherwise("0")), "")
+    codes = F.transform("chars", lambda c: F.instr(F.col("letters"), c).cast("double"))
     kinds = F.translate(F.col("body"), UPPER + LOWER + DIGITS + "+/-_=", "u" * 26 + "l" * 26 + "d" * 10 + "s" * 5)
-    t = t.withColumns({"squares": squares, "sides": sides, "codes": codes, "changes": (F.regexp_count(kinds, F.lit("u+|l+|d+|s+")) - 1).cast("double")})
+    # ln of a letter's or mark's share in its class; digits go by their neighbours
+    shares = F.array(F.lit(0.0), *(F.lit(math.log(x / sum(LETTERS))) for x in LETTERS))
+    own = lambda c: F.when(c.isin(*"+/-_="), math.log(0.2)).otherwise(F.get(shares, F.instr(F.lit(LOWER), F.lower(c))))
+    digit = lambda c: F.instr(F.lit(DIGITS), c)
+    gap = lambda a, b: F.abs(digit(a) - digit(b))
+    after = lambda a, b: F.when(digit(b) == 0, 0.0).when(digit(a) == 0, math.log(0.1)).when(gap(a, b) == 0, math.log(SAME_DIGIT)).when(gap(a, b) == 1, math.log(NEXT_DIGIT / 2)).otherwise(math.log((1 - SAME_DIGIT - NEXT_DIGIT) / 7))
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    first, rest = F.slice("chars", F.lit(1), F.size("chars") - 1), F.slice("chars", F.lit(2), F.size("chars") - 1)
+    t = t.withColumns({
+        "squares": squares, "sides": sides, "codes": codes, "changes": (F.regexp_count(kinds, F.lit("u+|l+|d+|s+")) - 1).cast("double"),
+        "shares": total(F.transform("chars", own)) + total(F.zip_with(first, rest, after)) + F.when(digit(F.get("chars", F.lit(0))) > 0, math.log(0.1)).otherwise(0.0),
+    })
     n, k = F.col("n"), F.col("k")
     products = total(F.zip_with(F.slice("codes", F.lit(1), F.size("codes") - 1), F.slice("codes", F.lit(2), F.size("codes") - 1), lambda a, b: a * b))
     t = t.withColumns({
         "n1": F.length(F.replace(F.col("sides"), F.lit("0"), F.lit(""))).cast("double"), "runs": F.regexp_count("sides", F.lit("0+|1+")).cast("double"),
         "mean": total(F.col("codes")) / n, "sq": total(F.transform("codes", lambda x: x * x)), "products": products,
     })
-    both = 2 * F.col("n1") * (n - F.col("n1"))
-    spread = both * (both - n) / (n * n * (n - 1))
+    both, less = 2 * F.col("n1") * (n - F.col("n1")), F.greatest(n - 1, F.lit(1.0))
+    spread = both * (both - n) / (n * n * less)
     variance = F.col("sq") - n * F.col("mean") * F.col("mean")
     ends = F.element_at("codes", 1) + F.element_at("codes", -1)
     lagged = F.col("products") - F.col("mean") * (2 * n * F.col("mean") - ends) + (n - 1) * F.col("mean") * F.col("mean")
-    rate = F.col("changes") / F.greatest(n - 1, F.lit(1.0))
-    part = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(0.0)
-    bound = F.when(rate > TEXT_CHANGE, -(n - 1) * (part(rate, F.lit(TEXT_CHANGE)) + part(1 - rate, F.lit(1 - TEXT_CHANGE)))).otherwise(0.0)
+    # the cube root of a chi-squared value is near normal; the shape is that of the multinomial's mean and variance
+    ninth = 2 * less / (9 * (k - 1) * n)
+    chi = F.greatest(k / n * F.col("squares") - n, F.lit(0.0)) / (k - 1)
+    tails = [log_tail(F.col(f"z_{x}")) for x in ("chi", "runs", "serial")]
+    half_sum = F.greatest(-sum(tails[1:], tails[0]), F.lit(0.0))
+    changes = F.col("changes")
+    writing = F.col("shares") + changes * math.log(TEXT_CHANGE / 3) + (n - 1 - changes) * math.log(1 - TEXT_CHANGE) + math.log(0.25)
+    ten = math.log(10.0)
     return t.withColumns({
-        "z_chi": (k / n * F.col("squares") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n),
-        "z_runs": F.when(spread > 0, (F.col("runs") - both / n - 1) / F.sqrt(spread)).otherwise(F.lit(99.0)),
-        "z_serial": F.when(variance > 0, (lagged / variance + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0)),
-        "log_p": bound / F.log(F.lit(10.0)),
-    })
+        "z_chi": (F.pow(chi, F.lit(1 / 3)) - (1 - ninth)) / F.sqrt(ninth),
+        "z_runs": F.when(spread > 0, (F.col("runs") - both / n - 1) / F.sqrt(F.greatest(spread, F.lit(1e-9)))).otherwise(F.lit(99.0)),
+        "z_serial": F.when(variance > 1e-9, (lagged / F.greatest(variance, F.lit(1e-9)) + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0)),
+    }).withColumns({
+        "log_random": (F.log(1 + half_sum + half_sum * half_sum / 2) - half_sum) / ten,
+        "log_text": F.least(F.lit(0.0), (writing + n * F.log(k)) / ten),
+    }).drop("body", "letters", "chars", "squares", "sides", "codes", "changes", "shares", "n1", "runs", "mean", "sq", "products")
 
 
-def discoveries(tested: DataFrame) -> DataFrame:
-    """The rows of ``tested`` that count as random. Within each class of length (doublings), the step-up rule at FDR runs over a histogram of log_p, whose classes are bounded, so nothing is sorted as a whole."""
-    row = tested.withColumns({"stratum": F.floor(F.log2("n")).cast("int"), "step": F.floor(F.greatest(F.col("log_p"), F.lit(-300.0)) / STEP).cast("int")})
+def rejected(rows: DataFrame, log_p: str) -> DataFrame:
+    """``rows`` (n, ``log_p``) with ``out``: whether the step-up rule at FDR rejects them within their class of length (doublings).
+
+    The rule runs over a histogram, whose cells are bounded, so nothing is sorted as a whole; a cell's largest p stands for it.
+    """
+    row = rows.withColumns({"stratum": F.floor(F.log2("n")).cast("int"), "step": F.floor(F.greatest(F.col(log_p), F.lit(FLOOR)) / STEP).cast("int")})
     histogram = row.groupBy("stratum", "step").agg(F.count("*").alias("c"))
     up, everything = Window.partitionBy("stratum").orderBy("step"), Window.partitionBy("stratum")
     ranked = histogram.withColumns({"rank": F.sum("c").over(up), "m": F.sum("c").over(everything)})
-    # a step's largest p stands for all of it
-    passed = ranked.where((F.col("step") + 1) * STEP <= F.log10(F.lit(FDR) * F.col("rank") / F.col("m"))).groupBy("stratum").agg(F.max("step").alias("limit"))
-    quiet = (F.abs("z_chi") < Z_LIMIT) & (F.abs("z_runs") < Z_LIMIT) & (F.abs("z_serial") < Z_LIMIT)
-    return row.join(F.broadcast(passed), "stratum").where(quiet & (F.col("step") <= F.col("limit"))).drop("stratum", "step", "limit")  # one row for each doubling of length
+    limits = ranked.where((F.col("step") + 1) * STEP <= F.log10(F.lit(FDR) * F.col("rank") / F.col("m"))).groupBy("stratum").agg(F.max("step").alias("limit"))
+    return row.join(F.broadcast(limits), "stratum", "left").withColumn("out", F.coalesce(F.col("step") <= F.col("limit"), F.lit(False))).drop("stratum", "step", "limit")  # one row for each doubling of length
+
+
+def discoveries(tested: DataFrame) -> DataFrame:
+    """The rows of ``tested`` (n, log_random, log_text) that count as random: not found unlike a random token, and found unlike writing."""
+    left = rejected(tested, "log_random").where("not out").drop("out")
+    return rejected(left, "log_text").where("out").drop("out")
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """For each row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
-    Null or empty text: no spans. Rows with equal texts get equal spans. Matches of one kind don't overlap; those of two kinds may.
+    Null or empty text: no spans. Repeated rows count as one text in the control of false discoveries. Rows with equal texts get equal spans. Matches of one kind don't overlap; those of two kinds may.
     """
     matches = materialize(find_matches(docs), "secret-matches")
     placed = positions(matches)
-    random = discoveries(battery(placed.where(F.col("kind") == KINDS.index("random"))))
+    # dealt anew, as tokens are few bytes but much work; written once, as both controls read it
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = placed.where(F.col("kind") == KINDS.index("random")).repartition(parts, "text_key", "start")
+    tested = materialize(battery(tokens).select("text_key", "kind", "start", "end", "n", "log_random", "log_text"), "tested-tokens")
+    random = discoveries(tested)
     spans = placed.where(F.col("kind") < KINDS.index("random")).drop("token").unionByName(random.select("text_key", "kind", "start", "end"))
     listed = spans.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all"))
     names = F.array(*map(F.lit, KINDS))

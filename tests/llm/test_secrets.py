@@ -1,7 +1,7 @@
 import hashlib
+import math
 import random
 import re
-import secrets as random_secrets
 import sys
 from pathlib import Path
 
@@ -49,14 +49,94 @@ def test_random_tokens(spark):
     hit = lambda i: "random" in got[i]["spans"]
     assert sum(hit(i) for i in range(len(secret))) >= 0.9 * len(secret)
     assert sum(hit(i) for i in range(len(secret), len(texts))) == 0
-    assert random_secrets is not S
 
 
-def test_battery(spark):
-    df = spark.createDataFrame([("0123456789abcdef" * 2,), ("a" * 25,), ("Zz9" * 10 + "==",)], "token string")
-    got = {x["token"]: x for x in S.battery(df).collect()}
-    assert got["0123456789abcdef" * 2]["encoding"] == "hex" and abs(got["0123456789abcdef" * 2]["z_serial"]) > 2
-    assert got["a" * 25]["z_chi"] > 4 and got["a" * 25]["log_p"] == 0 and got["Zz9" * 10 + "=="]["encoding"] == "base62"
+def brute_battery(token):
+    """n, encoding, the three z-values, log_random and log_text in plain Python."""
+    body = re.sub("=+$", "", token) or token
+    name, alphabet = next(((x, y) for x, pattern, y in S.ENCODINGS if re.search(pattern, body)), ("mixed", S.ANY_ALPHABET))
+    n, k = len(body), len(alphabet)
+    x = [alphabet.index(c) + 1 for c in body]
+    chi = max(0.0, sum(body.count(c) ** 2 for c in alphabet) * k / n - n) / (k - 1)
+    ninth = 2 * max(n - 1, 1) / (9 * (k - 1) * n)
+    z_chi = (chi ** (1 / 3) - (1 - ninth)) / ninth**0.5
+    side = [c > k // 2 for c in x]
+    n1, runs = sum(side), 1 + sum(a != b for a, b in zip(side, side[1:], strict=False))
+    both = 2 * n1 * (n - n1)
+    spread = both * (both - n) / (n * n * max(n - 1, 1))
+    z_runs = (runs - both / n - 1) / spread**0.5 if spread > 0 else 99.0
+    mean = sum(x) / n
+    variance = sum((c - mean) ** 2 for c in x)
+    z_serial = (sum((a - mean) * (b - mean) for a, b in zip(x, x[1:], strict=False)) / variance + 1 / n) * n**0.5 if variance > 1e-9 else 99.0
+    h = -sum(math.log(max(math.erfc(abs(z) / 2**0.5), 1e-320)) for z in (z_chi, z_runs, z_serial))
+    log_random = (math.log(1 + h + h * h / 2) - h) / math.log(10)
+    kind = lambda c: "u" if c in S.UPPER else "l" if c in S.LOWER else "d" if c in S.DIGITS else "s"
+    p, before = math.log(0.25), None
+    for c in body:
+        if before:
+            p += math.log(S.TEXT_CHANGE / 3 if kind(c) != kind(before) else 1 - S.TEXT_CHANGE)
+        if kind(c) == "s":
+            p += math.log(0.2)
+        elif kind(c) != "d":
+            p += math.log(S.LETTERS[ord(c.lower()) - 97] / sum(S.LETTERS))
+        elif before is None or kind(before) != "d":
+            p += math.log(0.1)
+        else:
+            gap = abs(int(c) - int(before))
+            p += math.log(S.SAME_DIGIT if gap == 0 else S.NEXT_DIGIT / 2 if gap == 1 else (1 - S.SAME_DIGIT - S.NEXT_DIGIT) / 7)
+        before = c
+    return n, name, z_chi, z_runs, z_serial, log_random, min(0.0, (p + n * math.log(k)) / math.log(10))
+
+
+def odd_tokens(r):
+    classes = (S.DIGITS, S.LOWER, S.UPPER, S.DIGITS + "abcdef", S.UPPER + S.LOWER + S.DIGITS, S.UPPER + S.LOWER + S.DIGITS + "+/", S.ANY_ALPHABET)
+    out = ["".join(r.choices(c, k=r.randint(20, 70))) for c in classes for _ in range(25)]
+    return out + ["a" + "=" * 19, "=" * 30, "a" * 25, "0123456789" * 3, "Zz9" * 10 + "==", "internationalization", "ab" * 12, "some_long_name_in_code", "x" * 300 + "Q7" * 90]
+
+
+def test_battery_against_brute_force(spark):
+    tokens = odd_tokens(random.Random(3))
+    got = {x["token"]: x for x in S.battery(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
+    for t in tokens:
+        x, want = got[t], brute_battery(t)
+        assert (int(x["n"]), x["encoding"]) == want[:2]
+        for c, w in zip(("z_chi", "z_runs", "z_serial", "log_text"), (*want[2:5], want[6]), strict=True):
+            assert abs(x[c] - w) < 1e-6 * max(1, abs(w)), (t, c)
+        if want[5] > -20:
+            assert abs(x["log_random"] - want[5]) < 0.02 * max(1, -want[5]), t
+
+
+def brute_step_up(rows):
+    """Which of (key, n, log_p) are rejected: within a class of length, ranked by the upper end of their histogram cell."""
+    out = set()
+    for stratum in {int(math.log2(n)) for _, n, _ in rows}:
+        own = [(math.floor(max(p, S.FLOOR) / S.STEP), key) for key, n, p in rows if int(math.log2(n)) == stratum]
+        limit = max((c for c, _ in own if (c + 1) * S.STEP <= math.log10(S.FDR * sum(d <= c for d, _ in own) / len(own))), default=None)
+        out |= {key for c, key in own if limit is not None and c <= limit}
+    return out
+
+
+def test_random_spans_against_brute_force(spark):
+    tokens = sorted(set(odd_tokens(random.Random(5))))
+    docs = documents(spark, [f"é see {t} here" for t in tokens])
+    # the battery's own figures; the test above holds them against plain Python
+    tested = [(x["token"], x["n"], x["log_random"], x["log_text"]) for x in S.battery(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()]
+    gone = brute_step_up([(t, n, p) for t, n, p, _ in tested])
+    want = brute_step_up([(t, n, p) for t, n, _, p in tested if t not in gone])
+    got = {x["doc_id"]: x["spans"] for x in S.scan(docs).collect()}
+    for i, t in enumerate(tokens):
+        assert (f"random:6:{6 + len(t)}" in got[i].split(",")) == (t in want), t
+
+
+def test_each_encoding_is_found(spark):
+    r = random.Random(9)
+    alphabets = {"decimal": S.DIGITS, "lower": S.LOWER, "upper": S.UPPER, "hex": S.DIGITS + "abcdef", "base62": S.UPPER + S.LOWER + S.DIGITS}
+    tokens = [(name, "".join(r.choices(a, k=48))) for name, a in alphabets.items() for _ in range(40)]
+    texts = [f"see {t} here" for _, t in tokens] + [f"see {t} here" for t in ("internationalization" * 2, "donaudampfschifffahrtsgesellschaftskapitaen", "0123456789" * 4, "ABCDEFGHIJKLMNOPQRSTUVWXYZ" * 2)]
+    found = {x["doc_id"] for x in S.scan(documents(spark, texts)).where("n_random > 0").collect()}
+    for name in alphabets:
+        assert sum(i in found for i, (e, _) in enumerate(tokens) if e == name) >= 36, name
+    assert not [i for i in found if i >= len(tokens)]
 
 
 def test_no_python(spark, small):
