@@ -52,7 +52,7 @@ def _terms(words: Column) -> Column:
 
 def _numbers(values: list[float], kind: str) -> Column:
     """An array of many constants; the optimizer folds it into one literal."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(f"{v:g}" for v in values)), ",").cast(f"array<{kind}>")
 
 
 #: For each of the two questions, toxic or not, poor or good: the weight of the terms that have one.
@@ -68,14 +68,11 @@ def statistics(weights: Weights) -> Column:
     step = lambda x, *edges: let(x, lambda v: sum((F.when(v >= e, 1).otherwise(0) for e in edges), F.lit(0)))
     marks = sum((share(c) for c in MARKS[1:]), F.lit(0))
     words = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(_words())
-    # distinct terms of the text that weigh anything, few of all
-    listed = sorted({*weights[0], *weights[1]})
-    place = _numbers(listed, "int")
-    at = {t: i for i, t in enumerate(listed)}
-    tables = [_numbers([own.get(t, 0.0) for t in listed], "double") for own in weights]
-    total = lambda hits, table: F.aggregate(hits, F.lit(0.0), lambda a, t: a + F.get(table, (F.array_position(place, t) - 1).cast("int")) if at else a)
-    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), F.array_intersect(place, _terms(w)).alias("hits"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
-    scored = let(counts, lambda c: F.struct(c["all"].alias("all"), c["kinds"].alias("kinds"), c["calls"].alias("calls"), c["marks"].alias("marks"), total(c["hits"], tables[0]).alias("toxic"), total(c["hits"], tables[1]).alias("poor")))
+    # a place for each term, so that a look-up takes one step
+    tables = [_numbers([own.get(t, 0.0) for t in range(TERMS)], "double") if own else None for own in weights]
+    total = lambda terms, table: F.lit(0.0) if table is None else F.aggregate(terms, F.lit(0.0), lambda a, t: a + F.get(table, t))
+    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), F.array_distinct(_terms(w)).alias("terms"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
+    scored = let(counts, lambda c: F.struct(c["all"].alias("all"), c["kinds"].alias("kinds"), c["calls"].alias("calls"), c["marks"].alias("marks"), total(c["terms"], tables[0]).alias("toxic"), total(c["terms"], tables[1]).alias("poor")))
     n = lambda c: F.greatest(c["all"], F.lit(1))
     return let(scored, lambda c: F.struct(c["all"].alias("n_tokens"), F.array(
         step(c["all"], 20, 100, 500, 2000),
