@@ -250,7 +250,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     shared = shared_regions(signed)
     links = materialize(confirm(materialize(candidates(shared), "pairs"), docs, signed, n, percent), "links")
     label = materialize(components(links), "first-components")
-    label = components(links.union(materialize(remaining_links(shared, docs, signed, label, n, percent), "remaining-links")))
+    rest = materialize(remaining_links(shared, docs, signed, label, n, percent), "remaining-links")
+    # the components are joined as they are, not their links anew
+    of = lambda end: label.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    joined = rest.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    root = materialize(components(joined), "second-components").select(F.col("node").alias("label"), F.col("label").alias("root"))
+    label = label.join(root, "label", "full").select(F.coalesce("node", "label").alias("node"), F.coalesce("root", "label").alias("label"))
     classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(label.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
     # written, so that the join with it is one whose large partitions can be split: a component may hold many classes
