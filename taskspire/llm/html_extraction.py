@@ -24,19 +24,24 @@ from taskspire.llm.common import map_arrow
 
 # ---------------------------------------------------------------- the page's tree
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big canvas cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr "
+    "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded menclose mtable mtr mtd "
+    "svg g text tspan textpath path rect circle ellipse line polyline polygon".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = "script|style|noscript|template|svg|iframe|object|textarea|select|canvas|math"
+SILENT = "script|style|noscript|template|iframe|object|textarea|select|annotation|annotation-xml|defs|metadata"
 #: Elements that a start tag ends if they are open: tag -> (what it ends, where the search stops).
 _PARAGRAPH_ENDS = frozenset("address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul td th tr".split())
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, set()), "body": ({"head"}, set()),
 }
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + SILENT + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+#: What follows a tag's name: a quote opens a value only after '='; elsewhere it is a character like others.
+_REST = r"(?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)|[^>])*+"
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(" + SILENT + r")(?=[\s/>])" + _REST + r">.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)(" + _REST + r")>|<[!?][^>]*>", re.S | re.I)
+#: A tag that the page's end cuts off.
+_CUT_OFF = re.compile(r"<[a-z/!?]", re.I)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -123,8 +128,11 @@ def parse(page: str) -> Page:
         out.depth.append(out.depth[stack[-1]] + 1)
         out.attributes.append(" ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(m[4])) if m[4] else "")
         stack.append(len(out.tag) - 1)
-    if at < len(page) and not page.startswith("<", at):
-        parts.append(page[at:])
+    rest = _CUT_OFF.split(page[at:], maxsplit=1)[0]
+    if rest:
+        parts.append(rest)
+        if links:
+            linked += len(rest)
     flush()
     return out
 
@@ -165,6 +173,7 @@ def features(page: Page, weight: dict[str, float]) -> np.ndarray:
         tlong[p] = max(tlong[p], tlong[i])
     for i in range(1, n):
         kids[page.parent[i]].append(i)
+    child_least = [math.inf] * n
     total, seen = max(1, tree[0]), 0
     score, least, a_least, a_most = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
     cache: dict[tuple[str, str], tuple[float, float]] = {}
@@ -177,15 +186,16 @@ def features(page: Page, weight: dict[str, float]) -> np.ndarray:
         if i:
             p = page.parent[i]
             a_least[i], a_most[i] = min(a_least[p], score[p]), max(a_most[p], score[p])
+            child_least[p] = min(child_least[p], score[i])
     rows = np.zeros((n, len(FEATURES)), np.float32)
     log = math.log1p
     for i in range(n):
         p = page.parent[i]
         near = kids[p] if i else [0]
-        mean = sum(tree[k] for k in near) / len(near) if len(near) < 50 else tree[max(p, 0)] / len(near)
+        mean = (tree[p] - own[p]) / len(near) if i else tree[0]
         rows[i] = (
             log(own[i]), words[i] / max(1, blocks[i]), link[i] / max(1, own[i]), stops[i] / max(1, words[i]), log(tree[i]), tlink[i] / max(1, tree[i]), log(tblocks[i]), log(tnodes[i]), log(tree[i] / tnodes[i]), log(tlong[i]), tree[i] / total,
-            page.depth[i], 0.0, log(len(near)), 0.0, log(mean), seen / total, score[i], least[i], a_least[i], a_most[i], min((score[k] for k in kids[i][:50]), default=0.0), page.tag[i] in HEADINGS, page.tag[i] == "li",
+            page.depth[i], 0.0, log(len(near)), 0.0, log(mean), seen / total, score[i], least[i], a_least[i], a_most[i], child_least[i] if kids[i] else 0.0, page.tag[i] in HEADINGS, page.tag[i] == "li",
         )
         seen += own[i]
     for near in kids:

@@ -18,6 +18,36 @@ def test_parse():
     assert H.parse('<p class="x>y" id=z>q</p>').block_text == ["q"] and H.parse("<style>p{}</style><textarea>no</textarea>yes").block_text == ["yes"]
 
 
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        ("<p title=it's>hello</p>", ["hello"]),
+        ("<p class=\"a\"b'>two</p><p>three's</p>", ["two", "three's"]),
+        ("<p>a</p>< 5 apples", ["a", "< 5 apples"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <svg><text>here</text></svg></p>", ["so x=2 holds here"]),
+        ("<p>a<b", ["a"]),
+        ("<p a='x>y' b=\"'>\" c=d>q</p>", ["q"]),
+        ("<scripty>a</scripty><script src='x>y'>no</script >b", ["a", "b"]),
+    ],
+)
+def test_grammar(page, blocks):
+    assert H.parse(page).block_text == blocks
+
+
+def test_features_of_many_children():
+    """A node's features tell of all of its children, however many."""
+    rows = [H.features(H.parse("<div>" + "<p>some text</p>" * n + '<p class="ad">x</p></div>'), {"ad": -3.0}) for n in (10, 49, 50, 200)]
+    least, mean = H.FEATURES.index("child_token_least"), H.FEATURES.index("siblings_chars")
+    for n, x in zip((10, 49, 50, 200), rows, strict=True):
+        assert x[1, least] == -3.0 and abs(x[2, mean] - H.math.log1p((9 * n + 1) / (n + 1))) < 1e-5
+
+
+def test_clashing_columns(spark, model):
+    pages = spark.createDataFrame([(1, "u", "<article><p>a text of some words, as it is. And more of it, too.</p></article>", "clash", 7)], "page_id long, url string, html string, text string, n_chars int")
+    got = H.extract(pages, model)
+    assert got.columns == ["page_id", "url", "text", "n_chars"] and got.first()["n_chars"] == len(got.first()["text"])
+
+
 def test_decoding_is_consistent():
     p = H.parse("<div><p>a</p><p>b</p></div><nav><p>c</p></nav>")
     blocks, nodes = H.decode(p, [1.0, 1.0, 2.0, -3.0, -5.0, 3.0])
