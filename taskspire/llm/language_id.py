@@ -1,6 +1,6 @@
 """Operator 10, language identification with hyperdimensional profiles.
 
-Each letter has a random vector of +1 and -1. A trigram's vector binds (multiplies) the letters' vectors, each permuted
+Each letter, by code point and without case, has a random vector of +1 and -1 of its own. A trigram's vector binds (multiplies) the letters' vectors, each permuted
 (rotated) by its place; a text's vector bundles (adds) those of its trigrams. A language's prototype bundles the texts known
 to be in it, and a text gets the language whose prototype has the greatest cosine with it.
 """
@@ -21,21 +21,16 @@ from taskspire.llm.common import free_name, map_arrow
 DIMENSIONS, SEED = 1024, 7
 #: At most about so many labelled rows are learned from (a hash of doc_id picks them).
 TRAIN_ROWS = 20_000
-#: Letter codes: 0 is a gap between words, 1 to 26 are a to z, the other letters share the rest by code point.
-CODES, GAP = 96, 0
+#: The code of a gap between words; a letter's is its code point. Bits of a code in a trigram.
+GAP, CODE_BITS = 0, 21
 #: In a filtering stage, a text under this cosine with every language goes.
 LEAST_COSINE = 0.02
 
 
-def _code_table() -> np.ndarray:
-    """The letter code of each code point under 65,536; letters above share the codes in the same way. Marks join their letter."""
-    out = np.zeros(1 << 16, np.uint8)
-    for c in range(1 << 16):
-        if 0xD800 <= c < 0xE000 or not chr(c).isalpha():
-            continue
-        low = chr(c).lower()[0]
-        out[c] = ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % (CODES - 27)
-    return out
+def _code(point: int) -> int:
+    if 0xD800 <= point < 0xE000 or not chr(point).isalpha():
+        return GAP
+    return ord(chr(point).lower()[0])
 
 
 _TABLE: list[np.ndarray] = []
@@ -44,13 +39,12 @@ _TABLE: list[np.ndarray] = []
 def codes_of(text: str) -> np.ndarray:
     """Letter codes of a text, lower-cased, with each run of other characters as one gap, and gaps at both ends."""
     if not _TABLE:
-        _TABLE.append(_code_table())
+        _TABLE.append(np.array([_code(c) for c in range(1 << 16)], np.int64))
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = _TABLE[0][np.minimum(points, 0xFFFF)]
-    if len(points) and points.max() > 0xFFFF:
-        for i in np.flatnonzero(points > 0xFFFF):
-            codes[i] = 27 + points[i] % (CODES - 27) if chr(points[i]).isalpha() else GAP
-    codes = np.concatenate([[GAP], codes, [GAP]]).astype(np.int32)
+    for i in np.flatnonzero(points > 0xFFFF):
+        codes[i] = _code(int(points[i]))
+    codes = np.concatenate([[GAP], codes, [GAP]])
     return codes[np.concatenate([[True], (codes[1:] != GAP) | (codes[:-1] != GAP)])]
 
 
@@ -58,37 +52,49 @@ def grams_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The distinct trigrams of a text and how often each occurs; none if it has no letter."""
     c = codes_of(text)
     if len(c) < 3:
-        return np.zeros(0, np.int32), np.zeros(0)
-    if len(c) < 5000:
-        grams, n = np.unique((c[:-2] * CODES + c[1:-1]) * CODES + c[2:], return_counts=True)
-        return grams, n
-    n = np.bincount((c[:-2] * CODES + c[1:-1]) * CODES + c[2:], minlength=CODES**3)
-    grams = np.flatnonzero(n)
-    return grams, n[grams]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.unique((c[:-2] << (2 * CODE_BITS)) | (c[1:-1] << CODE_BITS) | c[2:], return_counts=True)
 
 
 class Bundler:
     """Sums of trigram vectors. The vectors of trigrams met so far are kept, up to ``most`` rows; others are bound anew."""
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED, most: int = 12_000):
-        letters = np.random.default_rng(seed).integers(0, 2, (CODES, dimensions)).astype(np.float32) * 2 - 1
-        self.third, self.second, self.first = letters, np.roll(letters, 1, axis=1), np.roll(letters, 2, axis=1)
-        self.row = np.full(CODES**3, -1, np.int32)
-        self.kept, self.used = np.zeros((most, dimensions), np.float32), 0
+        self.dimensions, self.seed = dimensions, seed
+        self.letters: dict[int, np.ndarray] = {}
+        self.known, self.place = np.zeros(0, np.int64), np.zeros(0, np.int64)  # kept trigrams, sorted, and their rows
+        self.kept = np.zeros((most, dimensions), np.float32)
+
+    def letter(self, code: int) -> np.ndarray:
+        """The vector of a code: drawn from the seed and the code alone, so every task has the same."""
+        got = self.letters.get(code)
+        if got is None:
+            got = self.letters[code] = np.random.default_rng([self.seed, code]).integers(0, 2, self.dimensions).astype(np.float32) * 2 - 1
+        return got
 
     def bind(self, grams: np.ndarray) -> np.ndarray:
-        a, b, c = grams // CODES**2, grams // CODES % CODES, grams % CODES
-        return self.first[a] * self.second[b] * self.third[c]
+        mask = (1 << CODE_BITS) - 1
+        codes, at = np.unique(np.concatenate([grams >> (2 * CODE_BITS), (grams >> CODE_BITS) & mask, grams & mask]), return_inverse=True)
+        letters = np.array([self.letter(int(c)) for c in codes], np.float32).reshape(len(codes), self.dimensions)
+        first, second, third = at.reshape(3, -1)
+        return np.roll(letters, 2, axis=1)[first] * np.roll(letters, 1, axis=1)[second] * letters[third]
+
+    def _rows(self, grams: np.ndarray) -> np.ndarray:
+        """The kept row of each trigram, -1 where there is none."""
+        if not len(self.known):
+            return np.full(len(grams), -1)
+        at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        return np.where(self.known[at] == grams, self.place[at], -1)
 
     def bundle(self, text: str) -> np.ndarray:
         grams, n = grams_of(text)
-        rows = self.row[grams]
-        new = grams[rows < 0][: len(self.kept) - self.used]
+        rows, used = self._rows(grams), len(self.known)
+        new = grams[rows < 0][: len(self.kept) - used]
         if len(new):
-            self.kept[self.used : self.used + len(new)] = self.bind(new)
-            self.row[new] = np.arange(self.used, self.used + len(new))
-            self.used += len(new)
-            rows = self.row[grams]
+            self.kept[used : used + len(new)] = self.bind(new)
+            at = np.searchsorted(self.known, new)
+            self.known, self.place = np.insert(self.known, at, new), np.insert(self.place, at, np.arange(used, used + len(new)))
+            rows = self._rows(grams)
         known = rows >= 0
         out = n[known].astype(np.float32) @ self.kept[rows[known]]
         return out if known.all() else out + n[~known].astype(np.float32) @ self.bind(grams[~known])

@@ -1,20 +1,50 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from taskspire.llm import language_id as L
 
 
+def by_hand(text):
+    """Binding and bundling one trigram after the other."""
+    c, out = L.codes_of(text).tolist(), np.zeros(L.DIMENSIONS)
+    v = lambda code: np.random.default_rng([L.SEED, code]).integers(0, 2, L.DIMENSIONS) * 2.0 - 1
+    for x, y, z in zip(c, c[1:], c[2:], strict=False):
+        out += np.roll(v(x), 2) * np.roll(v(y), 1) * v(z)
+    return out
+
+
 def test_codes_and_bundle():
-    assert L.codes_of("aB-é").tolist()[:3] == [0, 1, 2] and L.codes_of("aB-é")[-1] == 0
+    assert L.codes_of("aB-é").tolist() == [0, ord("a"), ord("b"), 0, ord("é"), 0] and L.codes_of("𐐀x").tolist() == [0, 0x10428, ord("x"), 0]
     assert len(L.grams_of("")[0]) == 0 and len(L.grams_of("123 --")[0]) == 0
     a, b = L.Bundler(), L.Bundler(most=3)
-    text = "some longer text with many trigrams " * 3
-    assert np.allclose(a.bundle(text), b.bundle(text))
-    # binding and bundling by hand
-    grams, n = L.grams_of("abc")
-    letters = np.random.default_rng(L.SEED).integers(0, 2, (L.CODES, L.DIMENSIONS)) * 2 - 1
-    want = sum(k * np.roll(letters[g // L.CODES**2], 2) * np.roll(letters[g // L.CODES % L.CODES], 1) * letters[g % L.CODES] for g, k in zip(grams, n))
-    assert np.allclose(a.bundle("abc"), want)
+    for text in ("some longer text with many trigrams " * 3, "abc", "Юлия и Яна", "中文 字", "ﬁ ß Ünï"):
+        assert np.allclose(a.bundle(text), by_hand(text)) and np.allclose(b.bundle(text), by_hand(text))
+
+
+def test_letters_of_a_script_differ():
+    b = L.Bundler()
+    letters = [b.letter(c) for c in [*range(0x430, 0x450), *range(0x3B1, 0x3C9)]]
+    assert max(abs(float(x @ y)) for i, x in enumerate(letters) for y in letters[:i]) < 6 * L.DIMENSIONS**0.5
+
+
+def test_against_brute_force(spark):
+    """Learning and prediction on a small fixture, one text after the other."""
+    docs = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("le chat et le chien", "fr"), ("кот и собака", "ru"), ("dog and cat", "en"), ("un chien", "fr"), ("собака и кот", "ru"), ("the the", None), ("x", "en"), ("le et un", "fr")] * 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    sums = {}
+    for i, t, lang in docs:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang:
+            v = by_hand(t)
+            sums[lang] = sums.get(lang, 0) + v / np.linalg.norm(v)
+    names = sorted(sums)
+    learned = L.learn(df)
+    assert list(learned) == names and all(np.allclose(learned[x], sums[x] / np.linalg.norm(sums[x]), atol=1e-5) for x in names)
+    for r in L.identify(df, learned).collect():
+        v = by_hand(r["text"])
+        cosines = [float(sums[x] @ v / np.linalg.norm(sums[x]) / np.linalg.norm(v)) for x in names]
+        assert r["lang_pred"] == names[int(np.argmax(cosines))] and abs(r["score"] - max(0.0, max(cosines))) < 1e-5
 
 
 def test_long_text_counts_the_same():
