@@ -23,8 +23,9 @@ DIMENSIONS, SEED = 1024, 7
 TRAIN_ROWS = 20_000
 #: The code of a gap between words; a letter's is its code point. Bits of a code in a trigram.
 GAP, CODE_BITS = 0, 21
-#: In a filtering stage, a text under this cosine with every language goes.
-LEAST_COSINE = 0.02
+#: In a filtering stage, a text under this cosine with every language goes: three standard deviations of the cosine of
+#: random vectors; for texts of less than SHORT code points, whose few trigrams may all be rare ones, one.
+LEAST_COSINE, LEAST_COSINE_SHORT, SHORT = 3 / DIMENSIONS**0.5, 1 / DIMENSIONS**0.5, 64
 
 
 def _code(point: int) -> int:
@@ -165,11 +166,11 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     return with_language(docs.drop("lang_pred", "score"), prototypes, "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """The filtering stage: only documents with a language, known with a cosine of at least ``least``; columns as in ``docs``."""
+def keep_identified(docs: DataFrame, least: float = LEAST_COSINE, least_short: float = LEAST_COSINE_SHORT) -> DataFrame:
+    """The filtering stage: only documents with a language, known with a cosine of at least ``least`` (``least_short``, if shorter than SHORT); columns as in ``docs``."""
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
     known = with_language(docs, learn(docs), lang, score)
-    return known.where((F.col(lang) != "und") & (F.col(score) >= least)).select(*docs.columns)
+    return known.where((F.col(lang) != "und") & (F.col(score) >= F.when(F.length("text") < SHORT, least_short).otherwise(least))).select(*docs.columns)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

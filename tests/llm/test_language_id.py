@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -67,3 +68,13 @@ def test_und(spark):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.identify(df, p).collect()}
     assert got[1] == ("und", 0.0) and got[2] == ("und", 0.0) and got[3][0] == "en" and got[4][0] == "en" and all(0 <= s <= 1 for _, s in got.values())
     assert L.identify(df, {}).where("lang_pred <> 'und'").count() == 0
+
+
+def test_stage_rejects_what_it_has_not_learned(spark):
+    r = random.Random(4)
+    text = lambda letters, n: " ".join("".join(r.choices(letters, k=r.randint(2, 8))) for _ in range(n))
+    en = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(10**6 + i, text("абвгдежзиклмнопрстуфхцчшщыэюя", 50), None) for i in range(60)], en.schema)
+    kept = L.keep_identified(en.union(odd))
+    assert kept.where("doc_id >= 1000000").count() <= 3
+    assert kept.where("doc_id < 1000000").count() >= 0.98 * en.where("text rlike '[a-zA-Z]'").count()
