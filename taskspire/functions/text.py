@@ -20,7 +20,7 @@ LUMINOSITY = r"(\d+\.?\d*) ?(m|n|p|f)b(?:−|\(cid:0\))1"
 COLLISIONS = r"(proton-proton|heavy-ion|pp) collisions"
 YEAR = r"(?s)(?:acquired|collected|measured|recorded).{0,100}?(20\d\d((\+|-| and )20\d\d)?)"
 PAPER_NAME = r"[A-Z0-9-]+-20\d\d-[A-Z0-9-]+"
-LINK = r"(.*)\n? ?(https?://[a-z.]+/record/\d+)"
+LINK, LINK_HOST = r"(.*)\n? ?(https?://{host}/record/\d+)", "cds.cern.ch"
 INTERVAL = r"\[(?:[0-9][\\/][0-9\\/\n]+|[0-9]+-[0-9]+)\]"
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"}
 # Families of dataset names, in the order in which they are sought; verbose patterns.
@@ -102,9 +102,10 @@ def facts(text: Column | str, first_pages: Column | str) -> dict[str, Column]:
     }
 
 
-def links(pages: Column) -> Column:
-    """The titles and addresses of linked records; of equal titles the last counts."""
-    names, urls = (F.regexp_extract_all(pages, F.lit(LINK), F.lit(g)) for g in (1, 2))
+def links(pages: Column, host: str = LINK_HOST) -> Column:
+    """The titles and addresses of linked records of a host; of equal titles the last counts."""
+    pattern = LINK.format(host=re.escape(host))
+    names, urls = (F.regexp_extract_all(pages, F.lit(pattern), F.lit(g)) for g in (1, 2))
     pairs = F.arrays_zip(names.alias("k"), urls.alias("v"))
     last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["k"] == x["k"]))
     return F.map_from_entries(last)
@@ -119,52 +120,61 @@ def range_ids(text: Column | str) -> Column:
     return F.when(c.rlike(r"^\d+-\d+$") & (a <= b), F.transform(F.sequence(a, b), lambda x: x.cast("string"))).otherwise(F.array(c))
 
 
+#: An interval of more numbers than this is no list of datasets; it stands for none.
+MOST_NUMBERS = 100_000
+_MASK = re.compile(r"INTERVAL(\d+)!")
+_SWAPPED = str.maketrans("_ ", " _")
+_FAMILIES = {k: re.compile(v, re.X) for k, v in FAMILIES.items()}
+
+
 def expand_interval(body: str) -> list[str]:
-    """F28. '[1/2/3]' or '[9-12]' as its numbers, padded with zeros to the width of the first."""
+    """F28. '[1/2/3]' or '[9-12]' as its numbers, padded with zeros to the width of the longest. A short end completes the digits of the first ('[104920-3]' ends at 104923); reversed or boundless intervals give none."""
     inner = body.strip("[]").replace("\n", "")
-    if "-" in inner:
-        a, b = inner.split("-")
-        return [str(i).zfill(len(a)) for i in range(int(a), int(b) + 1)]
-    return [x for x in re.split(r"[\\/]", inner) if x]
+    if "-" not in inner:
+        return [x for x in re.split(r"[\\/]", inner) if x]
+    first, last = inner.split("-")
+    last = first[: max(0, len(first) - len(last))] + last
+    width = max(len(first), len(last))
+    a, b = int(first), int(last)
+    return [f"{i:0{width}d}" for i in range(a, b + 1)] if b - a < MOST_NUMBERS else []
 
 
 def dataset_names(text: str | None) -> list[tuple[str, str]]:
-    """F27, F28. (family, name) of all dataset names in a text.
+    """F27, F28. (family, name) of all dataset names in a text, each once for a family.
 
-    Bracketed intervals are masked first. Each family's matches are cut out of the text before the next family is sought,
-    and each is also sought with spaces for underscores. A name with intervals stands for one name for each of their values,
-    in step, as long as the shortest.
+    Bracketed intervals become numbered marks, of numbers that the text doesn't use itself. A family is sought in one scan of
+    the text as it stands and one with spaces and underscores exchanged, so that names written with spaces are found; what a
+    scan finds is left out of the next. A name with intervals stands for one name for each of their values, in step, as long
+    as the shortest.
     """
     if not text:
         return []
+    base = 1 + max((int(n) for n in _MASK.findall(text)), default=-1)
     intervals: list[list[str]] = []
 
     def mask(m: re.Match) -> str:
-        intervals.append(expand_interval(m.group(0)))
-        return f"INTERVAL{len(intervals) - 1}!"
-
-    text, out = re.sub(INTERVAL, mask, text), []
-    for family, pattern in _COMPILED.items():
-        for spaced, regex in enumerate(pattern):
-            while m := regex.search(text):
-                hit = m.group(0)
-                text = text.replace(hit, "")
-                name = hit.replace("\n", "").strip()
-                numbers = [int(n) for n in re.findall(r"INTERVAL(\d+)!", name)]
-                for i in range(min((len(intervals[n]) for n in numbers), default=1)):
-                    one = name
-                    for n in numbers:
-                        one = one.replace(f"INTERVAL{n}!", intervals[n][i])
-                    out.append((family, one.replace(" ", "_") if spaced else one))
+        intervals.append(expand_interval(m[0]))
+        return f"INTERVAL{base + len(intervals) - 1}!"
+
+    rest, out = re.sub(INTERVAL, mask, text), []
+    for family, pattern in _FAMILIES.items():
+        for _ in range(2):
+            pieces, at, seen = [], 0, {}
+            for m in pattern.finditer(rest):
+                pieces.append(rest[at : m.start()])
+                at = m.end()
+                seen[m[0].replace("\n", "").strip()] = None
+            rest = ("".join(pieces) + rest[at:]).translate(_SWAPPED)
+            for name in seen:
+                own = [int(n) - base for n in _MASK.findall(name) if int(n) >= base]
+                values = zip(*(intervals[n] for n in own), strict=False) if own else [()]
+                out += [(family, _MASK.sub(lambda m, v=dict(zip(own, x, strict=True)): v.get(int(m[1]) - base, m[0]), name)) for x in values]
     return out
 
 
-_COMPILED = {k: (re.compile(v, re.X), re.compile(v.replace("_", r"\ ").replace(r"\w", "a-zA-Z0-9 "), re.X)) for k, v in FAMILIES.items()}
-
-
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("family", T.StringType()), T.StructField("name", T.StringType())])))
 def dataset_names_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """``dataset_names`` over a column: cutting each match out before the next search can't be said in SQL."""
+    """``dataset_names`` over a column: leaving out what one family has taken can't be said in SQL."""
     for s in texts:
         yield pd.Series([[{"family": f, "name": n} for f, n in dataset_names(t)] for t in s])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taskspire.functions.events import ratio_or_zero
@@ -110,9 +110,12 @@ def derivations_flat(tasks: DataFrame, exclude: tuple[str, ...] = GENERAL_FORMAT
     own = F.filter("output_dataset", lambda d: (d["deleted"] == F.lit(False)) & (d["data_format"] == F.col("output")))
     out = per.groupBy("output").agg(
         F.count("*").alias("tasks"), F.coalesce(F.sum("input_bytes"), F.lit(0)).alias("input_bytes"), F.coalesce(F.sum("requested_events"), F.lit(0)).alias("input_events"),
-        F.sum(output_sum("bytes", own)).alias("output_bytes"), F.sum(output_sum("events", own)).alias("output_events"), F.slice(F.array_sort(F.collect_list("taskid")), 1, most_ids).alias("task_ids"),
+        F.sum(output_sum("bytes", own)).alias("output_bytes"), F.sum(output_sum("events", own)).alias("output_events"),
     )
-    return _with_ratios(out)
+    # the least ids of a format: each task of the map side passes on its own least ones only
+    place = F.row_number().over(Window.partitionBy("output").orderBy("taskid"))
+    least = per.select("output", "taskid").withColumn("place", place).where(F.col("place") <= most_ids).groupBy(F.col("output").alias("_of")).agg(F.array_sort(F.collect_list("taskid")).alias("task_ids"))
+    return _with_ratios(out.join(least, F.col("output").eqNullSafe(F.col("_of")), "left").drop("_of"))
 
 
 def derivations_nested(tasks: DataFrame) -> DataFrame:

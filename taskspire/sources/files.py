@@ -15,32 +15,31 @@ EXTENSIONS = {"json": "*.json", "ttl": "*.ttl", "text": "*.txt"}
 def messages(spark: SparkSession, path: str | Sequence[str], kind: str = "json", end: str = "\n") -> DataFrame:
     """S6, S7, S9, S10. (value, source) of all messages in files of a type, below a folder or in it.
 
-    ``end`` closes a message; '' makes each file one message. What isn't closed at a file's end is dropped: read with the
-    separator kept, so nothing but the last piece of each file can lack it.
+    ``end`` closes a message; '' makes each file one message. What isn't closed at a file's end is dropped: one message that
+    reads like the unclosed tail, as often as it may stand in the file. Files stay splittable.
     """
     read = spark.read.option("pathGlobFilter", EXTENSIONS[kind]).option("recursiveFileLookup", "false")
     if end == "":
         return read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source"))
-    if end == "\n":
-        # the files stay splittable; only the last line of a file without a final newline has to go
-        lines = read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("_size"))
-        tails = open_tails(lines)
-        if tails is None:
-            return lines.drop("_size")
-        marked = lines.join(F.broadcast(tails), "source", "left")
-        return marked.where(F.col("tail").isNull() | (F.col("value") != F.col("tail"))).select("value", "source")
-    whole = read.text(path, wholetext=True).select(F.split("value", quoted(end), -1).alias("parts"), F.col("_metadata.file_path").alias("source"))
-    return whole.select(F.explode(F.slice("parts", F.lit(1), F.size("parts") - 1)).alias("value"), "source")
-
-
-def open_tails(lines: DataFrame) -> DataFrame | None:
-    """(source, tail) of the files that don't end in a newline, or None: their lines, with a newline each, are one byte longer than the file. Only those files, which a writer left off in, are read once more."""
-    sizes = lines.groupBy("source").agg(F.sum(F.octet_length("value") + 1).alias("n"), F.max("_size").alias("size"))
+    lines = read.text(path, lineSep=end).select("value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("_size"))
+    tails = open_tails(lines, end)
+    if tails is None:
+        return lines.drop("_size")
+    marked = lines.join(F.broadcast(tails), "source", "left")
+    alike = marked.where(F.col("value") == F.col("tail")).groupBy("source", "value").count()
+    return marked.where(F.col("tail").isNull() | (F.col("value") != F.col("tail"))).select("value", "source").union(
+        alike.select("value", "source", F.explode(F.array_repeat(F.lit(1), (F.col("count") - 1).cast("int")))).select("value", "source")
+    )
+
+
+def open_tails(lines: DataFrame, end: str) -> DataFrame | None:
+    """(source, tail) of the files that don't end in ``end``, or None: their messages, each with its end, are longer than the file. Only those files, which a writer left off in, and compressed ones are read once more."""
+    sizes = lines.groupBy("source").agg(F.sum(F.octet_length("value") + len(end.encode())).alias("n"), F.max("_size").alias("size"))
     broken = [r[0] for r in sizes.where("n > size").select("source").collect()]
     if not broken:
         return None
     whole = lines.sparkSession.read.text(broken, wholetext=True)
-    return whole.select(F.col("_metadata.file_path").alias("source"), F.substring_index("value", "\n", -1).alias("tail"))
+    return whole.select(F.col("_metadata.file_path").alias("source"), F.substring_index("value", end, -1).alias("tail")).where("tail <> ''")
 
 
 def quoted(text: str) -> str:

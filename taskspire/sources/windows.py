@@ -37,16 +37,16 @@ def windows(start: datetime, end: datetime, step: int, clip: bool = True) -> Ite
 
 @dataclass
 class Offset:
-    """One row with the time up to which all has been read, in a folder that Spark reaches."""
+    """The time up to which all has been read, or, where windows go backwards, down to which; in a folder that Spark reaches."""
 
     spark: SparkSession
     path: str
 
-    def get(self, default: datetime) -> datetime:
+    def get(self, default: datetime, backwards: bool = False) -> datetime:
         from pyspark.errors import AnalysisException
 
         try:
-            row = self.spark.read.parquet(self.path).agg({"upto": "max"}).first()
+            row = self.spark.read.parquet(self.path).agg({"upto": "min" if backwards else "max"}).first()
         except AnalysisException:
             return default
         return row[0] or default
@@ -56,11 +56,12 @@ class Offset:
 
 
 def run_windows(offset: Offset, start: datetime, end: datetime, step: int, extract: Callable[[datetime, datetime], DataFrame], load: Callable[[DataFrame], None]) -> int:
-    """T7. Loads each window and then commits it: at least once. Returns how many windows were loaded."""
+    """T7. Loads each window and then commits its far edge: at least once. A run that was broken off goes on from there, in either direction. Returns how many windows were loaded."""
     done = 0
-    for a, b in windows(offset.get(start), end, step):
+    first, last = (offset.get(start), end) if step > 0 else (start, offset.get(end, backwards=True))
+    for a, b in windows(first, last, step):
         load(extract(a, b))
-        offset.commit(b)
+        offset.commit(b if step > 0 else a)
         done += 1
     return done
 

@@ -124,8 +124,9 @@ def test_facts(spark):
 
 
 def test_links(spark):
-    t = F.lit("Note A https://x.org/record/1\nNote A https://x.org/record/2\nB https://x.org/record/3")
-    assert one(spark, text.links(t)) == {"Note A ": "https://x.org/record/2", "B ": "https://x.org/record/3"}
+    t = F.lit("Note A https://x.org/record/1\nNote A https://x.org/record/2\nB https://x.org/record/3\nC https://y.org/record/4")
+    assert one(spark, text.links(t)) == {}
+    assert one(spark, text.links(t, "x.org")) == {"Note A ": "https://x.org/record/2", "B ": "https://x.org/record/3"}
 
 
 def test_dataset_names():
@@ -133,7 +134,13 @@ def test_dataset_names():
     assert ("montecarlo", "mc12_8TeV.10001.Pythia.merge.AOD.e1_r2") in got and ("montecarlo", "mc12_8TeV.10002.Pythia.merge.AOD.e1_r2") in got
     assert [f for f, _ in got].count("realdata") == 1
     assert text.dataset_names(None) == [] and text.dataset_names("") == []
-    assert text.expand_interval("[9-12]") == ["9", "10", "11", "12"] and text.expand_interval("[01\\02]") == ["01", "02"]
+    assert text.dataset_names("so INTERVAL7! and data12_8TeV.INTERVAL3!.physics_Muons.merge") == [("realdata", "data12_8TeV.INTERVAL3!.physics_Muons.merge")]
+    assert text.dataset_names("see mc12 8TeV.100001.Pythia.merge.AOD.e1 r2") == [("montecarlo", "mc12_8TeV.100001.Pythia.merge.AOD.e1_r2")]
+    two = text.dataset_names("data12_8TeV.[104920-3].physics_Muons.[1/2].AOD")
+    assert two == [("realdata", "data12_8TeV.104920.physics_Muons.1.AOD"), ("realdata", "data12_8TeV.104921.physics_Muons.2.AOD")]
+    assert text.expand_interval("[104920-3]") == ["104920", "104921", "104922", "104923"] and text.expand_interval("[12-9]") == [str(i) for i in range(12, 20)] and text.expand_interval("[12-05]") == []
+    assert text.expand_interval("[0-9999999999]") == []
+    assert text.expand_interval("[9-12]") == ["09", "10", "11", "12"] and text.expand_interval("[01\\02]") == ["01", "02"]
 
 
 def test_variant_path(spark):

@@ -14,6 +14,42 @@ def write(folder, name, text):
     (folder / name).write_text(text)
 
 
+def test_unclosed_tails(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.json").write_text("a\nb\na")
+    (tmp_path / "b.json").write_text("a\n\nc\n")
+    (tmp_path / "c.json.gz").write_bytes(gzip.compress(b"x\n\nx\n"))
+    (tmp_path / "d.json.gz").write_bytes(gzip.compress(b"y\ny"))
+    read = lambda kind, end="\n": sorted((r["source"].rsplit("/", 1)[-1], r["value"]) for r in files.messages(spark, str(tmp_path), kind, end).collect())
+    files.EXTENSIONS["any"] = "*"
+    try:
+        assert read("any") == [("a.json", "a"), ("a.json", "b"), ("b.json", ""), ("b.json", "a"), ("b.json", "c"), ("c.json.gz", ""), ("c.json.gz", "x"), ("c.json.gz", "x"), ("d.json.gz", "y")]
+    finally:
+        del files.EXTENSIONS["any"]
+    (tmp_path / "e.txt").write_text("uEOMvEOMu")
+    assert read("text", "EOM") == [("e.txt", "u"), ("e.txt", "v")]
+
+
+def test_backward_windows_resume(spark, tmp_path):
+    from datetime import datetime
+
+    offset, seen = windows.Offset(spark, str(tmp_path / "o")), []
+    t = lambda h: datetime(2020, 1, 1, h)
+
+    def load(df):
+        if len(seen) == 2 and not crashed:
+            crashed.append(1)
+            raise OSError("broken off")
+        seen.append(tuple(df.first()))
+
+    crashed: list[int] = []
+    run = lambda: windows.run_windows(offset, t(0), t(5), -3600, lambda a, b: spark.createDataFrame([(a.hour, b.hour)], "a int, b int"), load)
+    with pytest.raises(OSError):
+        run()
+    assert run() == 3 and seen == [(4, 5), (3, 4), (2, 3), (1, 2), (0, 1)] and run() == 0
+
+
 def test_messages(spark, tmp_path):
     write(tmp_path, "a.json", '{"a": 1}\n[2]\nbroken\n')
     write(tmp_path, "b.json", '{"a": 2}\n{"a": 3}\nunfinished')
