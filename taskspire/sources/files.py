@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+#: Files whose size tells nothing of their content.
+COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
 EXTENSIONS = {"json": "*.json", "ttl": "*.ttl", "text": "*.txt"}
 
 
@@ -35,7 +37,7 @@ def messages(spark: SparkSession, path: str | Sequence[str], kind: str = "json",
 def open_tails(lines: DataFrame, end: str) -> DataFrame | None:
     """(source, tail) of the files that don't end in ``end``, or None: their messages, each with its end, are longer than the file. Only those files, which a writer left off in, and compressed ones are read once more."""
     sizes = lines.groupBy("source").agg(F.sum(F.octet_length("value") + len(end.encode())).alias("n"), F.max("_size").alias("size"))
-    broken = [r[0] for r in sizes.where("n > size").select("source").collect()]
+    broken = [r[0] for r in sizes.where((F.col("n") > F.col("size")) | F.col("source").rlike(COMPRESSED)).select("source").collect()]
     if not broken:
         return None
     whole = lines.sparkSession.read.text(broken, wholetext=True)
