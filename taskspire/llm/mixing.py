@@ -24,7 +24,9 @@ WEIGHTS = {"good": 0.87, "poor": 0.12, "toxic": 0.01}
 #: The classifier is fitted on about so many labelled rows, picked by a hash of doc_id.
 TRAIN_ROWS = 20_000
 #: Words are hashed into so many terms. A term weighs its log-odds less so many standard errors, and nothing if that leaves none.
-TERMS, CAUTION = 1 << 16, 3.0
+TERMS, CAUTION = 1 << 15, 3.0
+#: Weights are kept in steps of 1 / SCALE, up to 127 of them.
+SCALE = 16
 #: The highest rate; None: rates are only kept from being negative, so targets are met as long as every domain has tokens.
 MOST_RATE: float | None = None
 #: Rounds of the fit, and the relative residual at which it ends.
@@ -50,9 +52,9 @@ def _terms(words: Column) -> Column:
     return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(TERMS)).cast("int"))
 
 
-def _numbers(values: list[float], kind: str) -> Column:
+def _numbers(values: list[int]) -> Column:
     """An array of many constants; the optimizer folds it into one literal."""
-    return F.split(F.lit(",".join(f"{v:g}" for v in values)), ",").cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
 
 
 #: For each of the two questions, toxic or not, poor or good: the weight of the terms that have one.
@@ -68,11 +70,14 @@ def statistics(weights: Weights) -> Column:
     step = lambda x, *edges: let(x, lambda v: sum((F.when(v >= e, 1).otherwise(0) for e in edges), F.lit(0)))
     marks = sum((share(c) for c in MARKS[1:]), F.lit(0))
     words = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(_words())
-    # a place for each term, so that a look-up takes one step
-    tables = [_numbers([own.get(t, 0.0) for t in range(TERMS)], "double") if own else None for own in weights]
-    total = lambda terms, table: F.lit(0.0) if table is None else F.aggregate(terms, F.lit(0.0), lambda a, t: a + F.get(table, t))
-    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), F.array_distinct(_terms(w)).alias("terms"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
-    scored = let(counts, lambda c: F.struct(c["all"].alias("all"), c["kinds"].alias("kinds"), c["calls"].alias("calls"), c["marks"].alias("marks"), total(c["terms"], tables[0]).alias("toxic"), total(c["terms"], tables[1]).alias("poor")))
+    # a place for each term, so that a look-up takes one step; it holds both weights, as one small number
+    packed = [round(weights[0].get(t, 0.0) * SCALE) * 256 + round(weights[1].get(t, 0.0) * SCALE) for t in range(TERMS)]
+    table = _numbers(packed) if any(packed) else None
+    poor = lambda v: F.pmod(v + 128, F.lit(256)) - 128
+    looked_up = lambda terms: F.array().cast("array<int>") if table is None else F.filter(F.transform(terms, lambda t: F.get(table, t)), lambda v: v != 0)
+    total = lambda values, part: F.aggregate(values, F.lit(0), lambda a, v: a + part(v)) / float(SCALE)
+    counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("all"), F.size(F.array_distinct(w)).alias("kinds"), looked_up(F.array_distinct(_terms(w))).alias("weights"), F.coalesce(share("!") / size, F.lit(0.0)).alias("calls"), F.coalesce(marks / size, F.lit(0.0)).alias("marks")))
+    scored = let(counts, lambda c: F.struct(c["all"].alias("all"), c["kinds"].alias("kinds"), c["calls"].alias("calls"), c["marks"].alias("marks"), total(c["weights"], lambda v: ((v - poor(v)) / 256).cast("int")).alias("toxic"), total(c["weights"], poor).alias("poor")))
     n = lambda c: F.greatest(c["all"], F.lit(1))
     return let(scored, lambda c: F.struct(c["all"].alias("n_tokens"), F.array(
         step(c["all"], 20, 100, 500, 2000),
@@ -112,7 +117,7 @@ def term_weights(sample: DataFrame) -> Weights:
             c, d = n_these + 1 - a, n_others + 1 - b
             odds, error = math.log(a / c) - math.log(b / d), math.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
             if abs(odds) > CAUTION * error:
-                own[r["t"]] = round(math.copysign(abs(odds) - CAUTION * error, odds), 4)
+                own[r["t"]] = max(-127, min(127, round(math.copysign(abs(odds) - CAUTION * error, odds) * SCALE))) / SCALE
     return out
 
 

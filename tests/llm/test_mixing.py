@@ -68,7 +68,7 @@ def brute_posteriors(texts, labels):
             odds = math.log(a / (na + 1 - a)) - math.log(b / (nb + 1 - b))
             error = math.sqrt(1 / a + 1 / b + 1 / (na + 1 - a) + 1 / (nb + 1 - b))
             if abs(odds) > M.CAUTION * error:
-                own[t] = round(math.copysign(abs(odds) - M.CAUTION * error, odds), 4)
+                own[t] = max(-127, min(127, round(math.copysign(abs(odds) - M.CAUTION * error, odds) * M.SCALE))) / M.SCALE
 
     def bins(i):
         t, n, size = texts[i] or "", len(all_words[i]), max(1, len((texts[i] or "").encode()))
