@@ -27,7 +27,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), repeat=False)
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), most_rate=1.0)
 
 
 def deal_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
