@@ -38,7 +38,7 @@ OPERATORS = {
     "rated": lambda d, b, l: mixing.rated(d, l),
     "mix": lambda d, b, l: mixing.mix(d, l),
     "fingerprints": lambda d, b, l: simhash.fingerprint_documents(d),
-    "lm": lambda d, b, l: lm_scoring.score(d, *lm_scoring.models(lm_scoring.with_target(d.select("doc_id", "text"), l))),
+    "lm": lambda d, b, l: lm_scoring.score(d, lm_scoring.models(lm_scoring.with_target(d.select("doc_id", "text"), l))),
     "secrets": lambda d, b, l: secrets.scan(d),
     "repeats": lambda d, b, l: substring_dedup.remove_repeats(d, 16),
     "near": lambda d, b, l: near_dedup.near_duplicates(d, 2),
