@@ -263,8 +263,8 @@ def rated(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHT
     return rows.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("chance"))).drop("chance")
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = MOST_RATE, repeat: bool = True) -> DataFrame:
-    """The mixing stage: each document as often as its copies say; columns as in ``docs``.
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most_rate: float | None = 1.0, repeat: bool = True) -> DataFrame:
+    """The mixing stage: each document as often as its copies say; columns as in ``docs``. It only drops documents unless ``most_rate`` is over 1 or None.
 
     Without ``repeat`` all rates are divided by the highest if that is over 1, so the shares stay as they are and no document
     is taken twice. The probabilities are made once more for it rather than joined to the texts.
