@@ -90,3 +90,9 @@ def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 def as_array(c: Column | str, kind: str) -> Column:
     """R4. A scalar as an array of one; arrays stay, null stays."""
     return as_column(c) if kind.startswith("array") else F.when(as_column(c).isNotNull(), F.array(as_column(c)))
+
+
+def with_suffix(values: Column | str, suffix: Column | str) -> Column:
+    """R5. 'value:suffix' for each element; null if there is no array or no suffix."""
+    s = as_column(suffix)
+    return F.when(s.isNotNull(), F.transform(as_column(values), lambda x: F.concat_ws(":", x, s)))

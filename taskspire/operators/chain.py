@@ -45,3 +45,8 @@ def chain_of(tasks: DataFrame, taskid: int) -> DataFrame:
     """The adjacency of the chain to which a task belongs; a task without a chain is its own root."""
     own = tasks.where(F.col("taskid") == taskid).select(F.coalesce("chain_id", "taskid").cast("long").alias("chain_id")).limit(1)
     return adjacency(tasks.withColumn("chain_id", F.coalesce("chain_id", "taskid").cast("long")).join(F.broadcast(own), "chain_id", "left_semi").withColumn("chain_data", F.coalesce("chain_data", F.array(F.col("taskid").cast("long")))))
+
+
+def by_length(chains: DataFrame, column: str = "chain_data") -> DataFrame:
+    """O5. Chains, the longest first; of equal ones by their tasks."""
+    return chains.orderBy(F.desc(F.size(column)), column)

@@ -36,6 +36,21 @@ def first_hit(df: DataFrame, key: str, order: Column) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")
 
 
+def first_hits(df: DataFrame, key: str, order: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """J19. The fields of each key's first row, as an aggregate: a hot key is added up before it is dealt. ``order`` must tell rows apart."""
+    return df.groupBy(key).agg(F.min(F.struct(*order, *(F.col(f).alias(f"_{i}") for i, f in enumerate(fields)))).alias("_first")).select(key, *(F.col(f"_first._{i}").alias(f) for i, f in enumerate(fields)))
+
+
+def record_id(url: Column | str) -> Column:
+    """S24. The number of a record in the path of its address."""
+    return F.regexp_extract(F.parse_url(F.col(url) if isinstance(url, str) else url, F.lit("PATH")), r"/record/(\d+)", 1).try_cast("long")
+
+
+def in_collection(records: DataFrame, collections: Column | str, wanted: Sequence[str]) -> DataFrame:
+    """S24. Records of one of the wanted collections; searches by code look only at these."""
+    return records.where(F.arrays_overlap(collections, F.array(*map(F.lit, wanted))))
+
+
 def dataset_facts(meta: DataFrame) -> DataFrame:
     """S22, J-6. (name, events, bytes, deleted) of a metadata table: the text 'null' is no value, and a dataset without bytes is deleted."""
     value = lambda c: F.nullif(F.col(c).cast("string"), F.lit("null")).cast("long")
@@ -60,10 +75,15 @@ def with_datasets(tasks: DataFrame, facts: DataFrame, names: str = "output") ->
 PARAMETER_SCOPES, PARAMETER_FORMATS = ("mc15", "mc16", "mc23"), ("AOD", "EVNT", "HITS")
 
 
+def pivoted(rows: DataFrame, key: str, param: str, value: str, names: dict[str, str]) -> DataFrame:
+    """S23. A long table as one row a key, with a column for each of ``names`` ({parameter: column}); of several values the greatest, so that the result doesn't depend on the order of rows."""
+    return rows.groupBy(key).pivot(param, list(names)).agg(F.max(value)).withColumnsRenamed(names)
+
+
 def with_parameters(sets: DataFrame, rows: DataFrame, names: dict[str, str]) -> DataFrame:
     """S23, J-5, F4, P19. Datasets with parameters from a long table (name, param, value): those named in ``names`` become columns. Only for the scopes and formats above."""
     fits = F.regexp_extract(scope("name"), "^(mc[0-9]+)", 1).isin(*PARAMETER_SCOPES) & (F.col("data_format").isNull() | F.split("data_format", "_")[0].isin(*PARAMETER_FORMATS))
-    wide = rows.groupBy(F.col("name").alias("_container")).pivot("param", list(names)).agg(F.first("value", ignorenulls=True)).withColumnsRenamed(names)
+    wide = pivoted(rows.withColumnRenamed("name", "_container"), "_container", "param", "value", names)
     return sets.withColumn("_container", F.when(fits, container("name"))).join(wide, "_container", "left").drop("_container")
 
 

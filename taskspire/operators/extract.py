@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Job parameters and their patterns in a task's parameter text; the value is the first group.
@@ -35,7 +35,7 @@ ANALYSIS_REQUEST = 300
 def job_parameters(text: Column | str) -> dict[str, Column]:
     """F10. All parameters found in a text; a missing one is null, never ''."""
     c = F.col(text) if isinstance(text, str) else text
-    return {k: F.nullif(F.regexp_extract(c, p, 1), F.lit("")) for k, p in PARAMETERS.items()}
+    return {k: first_match(c, p) for k, p in PARAMETERS.items()}
 
 
 def in_window(ts: Column | str, start: datetime | None, end: datetime | None) -> Column:
@@ -63,15 +63,18 @@ def extract_tasks(task: DataFrame, request: DataFrame, step: DataFrame, template
     """J1-J5, W1-W3. Tasks of a window with their request, step, hashtags, job parameters, and input events.
 
     Of ``inputs`` only rows of type 'input' without a master count; they and the hashtags are added up before they are
-    joined, so the many-to-many links multiply nothing and each is one shuffle on taskid.
+    joined, so the many-to-many links multiply nothing and each is one shuffle on taskid. Only rows of the window's tasks are
+    added up or searched for parameters. Repeated rows count once: each side is made distinct, so the wide result needn't be.
     """
     t = task.where(in_window("timestamp", start, end) & kind_of(F.col("pr_id"), kind))
-    tags = list_of(tag_link.join(tag, "ht_id"), "taskid", "hashtag", "hashtag_list")
-    events = inputs.where("type = 'input' and masterid is null").groupBy(F.col("jeditaskid").alias("taskid")).agg(F.sum("nevents").alias("requested_events"), F.sum("neventsused").alias("_used"))
-    named = params.select("taskid", *(c.alias(k) for k, c in job_parameters("jedi_task_parameters").items()))
-    joined = t.join(request.select("pr_id", "description", "energy_gev"), "pr_id").join(step.join(template, "step_t_id").select("step_id", "step_name"), "step_id")
+    ids = t.select("taskid")
+    tags = list_of(tag_link.join(ids, "taskid", "left_semi").join(tag, "ht_id"), "taskid", "hashtag", "hashtag_list")
+    own = inputs.where("type = 'input' and masterid is null").withColumnRenamed("jeditaskid", "taskid").join(ids, "taskid", "left_semi")
+    events = own.groupBy("taskid").agg(F.sum("nevents").alias("requested_events"), F.sum("neventsused").alias("_used"))
+    named = params.join(ids, "taskid", "left_semi").select("taskid", *(c.alias(k) for k, c in job_parameters("jedi_task_parameters").items())).distinct()
+    joined = t.distinct().join(request.select("pr_id", "description", "energy_gev").distinct(), "pr_id").join(step.join(template, "step_t_id").select("step_id", "step_name").distinct(), "step_id")
     out = joined.join(tags, "taskid", "left").join(named, "taskid", "left").join(events, "taskid", "left")
-    return out.withColumn("processed_events", F.coalesce("_used", "total_events")).drop("_used").distinct()
+    return out.withColumn("processed_events", F.coalesce("_used", "total_events")).drop("_used")
 
 
 def squash(rows: DataFrame, types: Iterable[str] = ("input", "output")) -> DataFrame:
@@ -91,3 +94,41 @@ def status_sums(jobs: DataFrame, key: str = "jeditaskid") -> DataFrame:
     """A19. CPU of finished and failed jobs of each task, and of both."""
     of = lambda s: F.coalesce(F.sum(F.when(F.col("jobstatus") == s, F.col("hs06sec"))), F.lit(0))
     return jobs.where(F.col("jobstatus").isin("finished", "failed")).groupBy(key).agg(of("finished").alias("toths06_finished"), of("failed").alias("toths06_failed")).withColumn("toths06", F.col("toths06_finished") + F.col("toths06_failed"))
+
+
+def task_datasets(task: DataFrame, sets: DataFrame, start: datetime | None, end: datetime | None, kind: str = "production") -> DataFrame:
+    """J6. The output datasets of a window's tasks, a row each. Other task tables that add no field aren't joined, as they could only multiply rows."""
+    t = task.where(in_window("timestamp", start, end) & kind_of(F.col("pr_id"), kind)).select("taskid")
+    return sets.where("type = 'output'").withColumnRenamed("jeditaskid", "taskid").select("taskid", "datasetname").join(t, "taskid")
+
+
+def task_keys(task: DataFrame, start: datetime | None, end: datetime | None, kind: str = "production") -> DataFrame:
+    """S5. The distinct ids of a window's tasks, for the check of consistency."""
+    return task.where(in_window("timestamp", start, end) & kind_of(F.col("pr_id"), kind)).select("taskid").distinct()
+
+
+def of_campaign(df: DataFrame, campaign: str) -> DataFrame:
+    """F12. Rows of a campaign, in any case of letters."""
+    return df.where(F.lower("campaign") == campaign.lower())
+
+
+def star(facts: DataFrame, *dimensions: tuple[DataFrame, Column]) -> DataFrame:
+    """J7. Inner joins of a table with its dimensions, one after another; each condition may use the ones before it."""
+    for table, on in dimensions:
+        facts = facts.join(table, on)
+    return facts
+
+
+def with_summary(df: DataFrame, rows: DataFrame, key: str, **sums: Column) -> DataFrame:
+    """J8, W5. What a correlated subquery would look up: aggregates of ``rows`` by the key, once, joined from the left. Keys without rows get nulls."""
+    return df.join(rows.groupBy(key).agg(*(c.alias(n) for n, c in sums.items())), key, "left")
+
+
+def with_total(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """A20, W2. Each row with its key's sum."""
+    return rows.withColumn(name, F.sum(value).over(Window.partitionBy(key)))
+
+
+def first_match(text: Column | str, pattern: str) -> Column:
+    """F11. The first group of the first match; null, never '', without one."""
+    return F.nullif(F.regexp_extract(F.col(text) if isinstance(text, str) else text, pattern, 1), F.lit(""))

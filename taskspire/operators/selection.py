@@ -94,3 +94,13 @@ def ended_after_start() -> Column:
 def incomplete(*required: str) -> Column:
     """P20. Whether one of the required fields is missing."""
     return reduce(lambda a, b: a | b, (F.col(c).isNull() for c in required))
+
+
+def having_child(parents: DataFrame, children: DataFrame, key: str, condition: Column) -> DataFrame:
+    """J11, P9. Parents of which a child fits, once each."""
+    return parents.join(children.where(condition).select(key), key, "left_semi")
+
+
+def having_parent(children: DataFrame, parents: DataFrame, key: str, condition: Column) -> DataFrame:
+    """J12. Children whose parent fits."""
+    return children.join(parents.where(condition).select(key), key, "left_semi")

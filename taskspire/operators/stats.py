@@ -147,6 +147,14 @@ def running_days(tasks: DataFrame, hashtags: list[str] | None, now: datetime, st
     return tasks.where(p & F.col("step_name").isNotNull()).select("step_name", F.explode(days).alias("day")).groupBy(F.col("step_name").alias("step"), "day").agg(F.count("*").alias("tasks"))
 
 
+def binned_days(counts: DataFrame, bins: int) -> DataFrame:
+    """U7. (step, day, tasks) by ``bins`` equal spans from the first day to the last, of all steps; a span's day is its first. The last day is in the last span."""
+    first, last = (counts.agg(f("day")).scalar() for f in (F.min, F.max))
+    days = F.greatest(F.datediff(last, first), F.lit(1))
+    at = F.least(F.floor(F.datediff("day", first) * bins / days), F.lit(bins - 1)).cast("int")
+    return counts.groupBy("step", at.alias("span")).agg(F.sum("tasks").alias("tasks")).select("step", F.date_add(first, F.ceil(F.col("span") * days / bins).cast("int")).alias("day"), "tasks")
+
+
 def hashtag_statistics(tasks: DataFrame, hashtags: list[str]) -> DataFrame:
     """A26. By step, for tasks with one of the hashtags: events, bytes of inputs that are still there, CPU, time, bytes of datasets, tasks by status."""
     t = tasks.where(matches(tasks, "hashtag_list", hashtags) & F.col("step_name").isNotNull())

@@ -1,11 +1,11 @@
-"""Subject-predicate-object triples from documents."""
+"""Subject-predicate-object triples from documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taskspire.functions.text import clean_string, iri, project_year
+from taskspire.functions.text import clean_string, iri, journal_id, project_year
 
 GRAPH = "http://example.org/graph"
 #: Types of literals; 'iri' stands for a node.
@@ -31,16 +31,52 @@ def links(df: DataFrame, kind: str, key: str, predicate: str, targets: Column, t
     return ids.select("s", F.lit(f"<{graph}#{predicate}>").alias("p"), iri(graph, target_kind.lower(), F.col("t").cast("string")).alias("o"), F.lit("iri").alias("o_type"))
 
 
+def _typed(nodes: DataFrame, node: Column, kind: str, graph: str) -> DataFrame:
+    return nodes.select(node.alias("s"), F.lit("a").alias("p"), F.lit(f"<{graph}#{kind}>").alias("o"), F.lit("iri").alias("o_type")).distinct()
+
+
+def _linked(rows: DataFrame, s: Column, predicate: str, o: Column, kind: str = "iri", graph: str = GRAPH) -> DataFrame:
+    return rows.select(s.alias("s"), F.lit(f"<{graph}#{predicate}>").alias("p"), o.alias("o"), F.lit(kind).alias("o_type"))
+
+
+def journal_issues(df: DataFrame, document: Column, issues: Column, graph: str = GRAPH) -> DataFrame:
+    """G2, F14. Five triples for each of the (title, volume, year) in ``issues``: type, title, volume, year, and the document that it contains. What is missing gives no triple."""
+    rows = df.select(document.alias("doc"), F.explode(F.array_distinct(issues)).alias("j")).select("doc", "j.*")
+    node = iri(graph, "journal_issue", journal_id(F.col("title"), F.col("volume"), F.col("year")))
+    own = [("a", F.lit(f"<{graph}#JournalIssue>"), "iri"), (f"<{graph}#containsPublication>", F.col("doc"), "iri")]
+    own += [(f"<{graph}#has{c.title()}>", F.col(c), "string") for c in ("title", "volume", "year")]
+    return rows.select(node.alias("s"), F.inline(F.array(*(F.struct(F.lit(p).alias("p"), o.alias("o"), F.lit(t).alias("o_type")) for p, o, t in own)))).where("o is not null").distinct()
+
+
 def content(df: DataFrame, key: str, names: Column, graph: str = GRAPH) -> DataFrame:
     """G5. For (family, name) entries of a document: its content node of each family, and the samples that it mentions."""
     e = df.select(F.col(key).cast("string").alias("k"), F.explode(names).alias("d")).select("k", "d.family", "d.name").distinct()
-    node = iri(graph, "content", F.concat_ws("_", "k", "family"))
-    sample = iri(graph, "sample", F.col("name"))
-    has = e.select(iri(graph, "document", F.col("k")).alias("s"), F.lit(f"<{graph}#hasContent>").alias("p"), node.alias("o"), F.lit("iri").alias("o_type")).distinct()
-    kinds = e.select(node.alias("s"), F.lit("a").alias("p"), F.lit(f"<{graph}#DocumentContent>").alias("o"), F.lit("iri").alias("o_type")).distinct()
-    samples = e.select(sample.alias("s"), F.lit("a").alias("p"), F.lit(f"<{graph}#DataSample>").alias("o"), F.lit("iri").alias("o_type")).distinct()
-    mentions = e.select(node.alias("s"), F.lit(f"<{graph}#mentionsDataSample>").alias("p"), sample.alias("o"), F.lit("iri").alias("o_type"))
-    return has.union(kinds).union(samples).union(mentions)
+    document = iri(graph, "document", F.col("k"))
+    node = iri(graph, "document", F.concat("k", F.lit("/"), "family", F.lit("_datasets")))
+    sample = iri(graph, "datasample", F.col("name"))
+    has = _linked(e, document, "hasContent", node, graph=graph).distinct()
+    return has.union(_typed(e, node, "DocumentContent", graph)).union(_typed(e, sample, "DataSample", graph)).union(_linked(e, node, "mentionsDataSample", sample, graph=graph))
+
+
+def fact_content(df: DataFrame, key: str, facts: dict[str, Column], graph: str = GRAPH) -> DataFrame:
+    """G6, F21. The node of a document's plain text with the years, luminosity, energy and campaigns that it mentions (``text.facts``). Spaces of a luminosity become '_', an energy is written small and without spaces."""
+    e = df.select(F.col(key).cast("string").alias("k"), *(facts[c].alias(c) for c in ("years", "luminosity", "energy", "campaigns")))
+    document, node = iri(graph, "document", F.col("k")), iri(graph, "document", F.concat("k", F.lit("/plain_text")))
+    luminosity = iri(graph, "luminosity", F.replace(F.col("luminosity"), F.lit(" "), F.lit("_")))
+    energy = F.concat(F.lit(f"<{graph}#"), F.lower(F.replace(F.col("energy"), F.lit(" "), F.lit(""))), F.lit(">"))
+    known, campaigns = e.where("luminosity is not null"), e.select("k", F.explode("campaigns").alias("c"))
+    campaign = iri(graph, "campaign", F.col("c"))
+    parts = [
+        _linked(e, document, "hasContent", node, graph=graph), _typed(e, node, "DocumentContent", graph),
+        _linked(e.select("k", F.explode("years").alias("y")), node, "mentionsDataTakingYear", F.col("y"), "string", graph),
+        _typed(known, luminosity, "Luminosity", graph), _linked(known, node, "mentionsLuminosity", luminosity, graph=graph),
+        _linked(e.where("energy is not null"), node, "mentionsEnergy", energy, graph=graph),
+        _typed(campaigns, campaign, "Campaign", graph), _linked(campaigns, node, "mentionsCampaign", campaign, graph=graph),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 def data_periods(df: DataFrame, graph: str = GRAPH) -> DataFrame:

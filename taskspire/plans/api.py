@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import inspect
 import re
+import threading
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -20,28 +22,59 @@ from taskspire.schema import STEP_TYPES
 VERSION = "0.3.0"
 
 
+# The codes of the interface's errors.
 class ApiError(Exception):
     code = 500
 
 
-class MethodNotFound(ApiError):
-    code = 404
+class NotImplementedYet(ApiError):
+    code = 501
 
 
-class MissedParameter(ApiError):
-    code = 400
+class CategoryNotFound(ApiError):
+    code = 461
 
 
-class InvalidParameter(ApiError):
-    code = 400
+class InvalidCategoryName(ApiError):
+    code = 462
 
 
-class NoDataFound(ApiError):
-    code = 404
+class MethodFailed(ApiError):
+    code = 470
+
+
+class MethodNotFound(MethodFailed):
+    code = 471
+
+
+class MethodExists(MethodFailed, ValueError):
+    code = 472
+
+
+class MissedParameter(MethodFailed):
+    code = 473
+
+
+class InvalidParameter(MethodFailed):
+    code = 474
+
+
+class NoDataFound(MethodFailed):
+    """Nothing there to answer from; a plain failure of the method."""
+
+
+class ConfigurationError(ApiError):
+    code = 590
+
+
+class ConfigurationNotFound(ConfigurationError):
+    code = 591
 
 
 @dataclass
 class Result:
+    """A table, not computed yet, and what is known beside it. Values of ``meta`` that are functions start jobs of their own when they are called."""
+
     data: DataFrame
     meta: dict[str, Any] = field(default_factory=dict)
 
@@ -65,9 +98,12 @@ class Engine:
 
     def add(self, path: str, method: Callable[..., Result]) -> None:
         """Registers a method; a path may hold * for any part."""
-        if standard_path(path) in self.methods:
-            raise ValueError(f"{path} is taken")
-        self.methods[standard_path(path)] = method
+        path = standard_path(path)
+        if not all(re.fullmatch(r"[\w*.-]+", part) for part in path.strip("/").split("/")):
+            raise InvalidCategoryName(path)
+        if path in self.methods:
+            raise MethodExists(f"{path} is taken")
+        self.methods[path] = method
 
     def call(self, path: str, **params: Any) -> Result:
         """By exact path, else by the last pattern in order that fits. Under /nested the nested layout is used where a method has one, else the flat one with a warning. A category's info lists its methods."""
@@ -84,7 +120,7 @@ class Engine:
                 method = self.methods[pattern]
                 break
         if method is None:
-            raise MethodNotFound(path)
+            raise (CategoryNotFound if at.endswith("/info") else MethodNotFound)(path)
         warning = None
         if nested and "layout" in inspect.signature(method).parameters:
             params["layout"] = "nested"
@@ -96,6 +132,32 @@ class Engine:
             result.meta.setdefault("warning", []).append(warning)
         return result
 
+    def respond(self, path: str, **params: Any) -> dict[str, Any]:
+        """K12. A method's answer, computed: status, data as a list of rows, and what is known beside them; errors as status, code and text. Answers are tables of a bounded size; a method's ``timeout`` (seconds) stops its jobs."""
+        began = time.time()
+        sc, tag = self.production.sparkSession.sparkContext, f"request-{uuid.uuid4().hex}"
+        timer = None
+        try:
+            result = self.call(path, **params)
+            seconds = result.meta.pop("timeout", None)
+            if seconds:
+                timer = threading.Timer(seconds, sc.cancelJobsWithTag, (tag,))
+                timer.start()
+            sc.addJobTag(tag)
+            rows = [r.asDict(True) for r in result.data.toLocalIterator()]
+            meta = {k: v() if callable(v) else [r.asDict(True) for r in v.collect()] if isinstance(v, DataFrame) else v for k, v in result.meta.items()}
+            return {"status": "OK", **meta, "data": rows, "took_total_ms": round((time.time() - began) * 1000)}
+        except ApiError as e:
+            return {"status": "failed", "code": e.code, "text": str(e), "took_total_ms": round((time.time() - began) * 1000)}
+        except Exception as e:
+            if timer is None or timer.is_alive():
+                raise
+            return {"status": "failed", "code": MethodFailed.code, "text": f"{path}: no answer in time ({type(e).__name__})", "took_total_ms": round((time.time() - began) * 1000)}
+        finally:
+            if timer is not None:
+                timer.cancel()
+            sc.removeJobTag(tag)
+
     def info(self) -> Result:
         rows = [(m, (f.__doc__ or "").strip().split("\n")[0], VERSION) for m, f in sorted(self.methods.items())]
         return Result(self.production.sparkSession.createDataFrame(rows, "method string, about string, version string"))
@@ -112,13 +174,30 @@ class Engine:
             raise InvalidParameter(f"step_type: {step_type}")
         return step_type or "step"
 
-    def task_hist(self, htags: Any = None, start: datetime | None = None, end: datetime | None = None, detailed: bool = False) -> Result:
-        """Tasks running on each day, by step."""
+    @staticmethod
+    def _whole(name: str, value: Any) -> int:
+        try:
+            n = int(value)
+        except (TypeError, ValueError):
+            n = 0
+        if n < 1:
+            raise InvalidParameter(f"{name}: {value}")
+        return n
+
+    def task_hist(self, htags: Any = None, start: datetime | None = None, end: datetime | None = None, detailed: bool = False, bins: Any = None, rtype: str = "table") -> Result:
+        """Tasks running on each day, by step; with ``bins``, added up over so many equal spans of days. ``rtype`` 'json': a row for each step with its days (or first days of spans) and numbers."""
+        if rtype not in ("table", "json"):
+            raise MethodFailed(f"response type {rtype}")
         if htags is None:
             raise MissedParameter("htags")
-        got = stats.running_days(self.production, [t.lower() for t in (htags if isinstance(htags, list) else [htags])], self.clock(), start, end)
+        got = stats.running_days(self.production, [t.lower() for t in (htags if isinstance(htags, list) else htags.split(","))], self.clock(), start, end)
         if not detailed:
             got = got.withColumn("step", steps.merged_name(F.col("step")))
+        if bins is not None:
+            got = stats.binned_days(got, self._whole("bins", bins))
+        if rtype == "json":
+            got = got.groupBy("step").agg(F.array_sort(F.collect_list(F.struct(F.col("day").cast("string").alias("x"), F.col("tasks").alias("y")))).alias("p")).select("step", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+            return Result(got.orderBy(steps.chart_order(F.col("step")), "step"))
         return Result(got.orderBy(steps.chart_order(F.col("step")), "step", "day"))
 
     def task_chain(self, tid: int | None = None) -> Result:
@@ -130,7 +209,7 @@ class Engine:
             raise NoDataFound(f"task {tid}")
         return Result(got)
 
-    def task_kwsearch(self, kw: Any = None, analysis: bool | None = None, production: bool | None = None, size: int = 2000, ds_size: int = 20) -> Result:
+    def task_kwsearch(self, kw: Any = None, analysis: bool | None = None, production: bool | None = None, size: Any = 2000, ds_size: Any = 20, timeout: Any = 120) -> Result:
         """Tasks that have all keywords. Naming one kind of tasks alone turns the other off."""
         if kw is None:
             raise MissedParameter("kw")
@@ -142,10 +221,11 @@ class Engine:
             raise InvalidParameter("analysis and production are both off")
         from taskspire.operators.upsert import union_all
 
+        size, ds_size, timeout = self._whole("size", size), self._whole("ds_size", ds_size), self._whole("timeout", timeout)
         if not tables:
-            return Result(self.production.limit(0), {"total": 0})
+            return Result(self.production.limit(0), {"total": lambda: 0, "timeout": timeout})
         found = search.keyword_search(union_all(*tables), kw if isinstance(kw, list) else [kw], None, ds_size)
-        return Result(found.orderBy("taskid").limit(size), {"total": found.count()})
+        return Result(found.orderBy("taskid").limit(size), {"total": found.count, "timeout": timeout})
 
     def task_deriv(self, project: str | None = None, amitag: Any = None, layout: str = "flat") -> Result:
         """Derivations of a project and tags, by format."""
@@ -169,12 +249,13 @@ class Engine:
             raise InvalidParameter(f"events_src: {events_src}")
         tasks, kind = self._select(self.production, params), self._step_type(step_type)
         now = self.clock()
-        meta = {"total": tasks.count(), "statuses": stats.campaign_statuses(tasks, now, kind, layout), "daily": stats.campaign_daily(tasks, kind, layout), "last_update": tasks.agg(F.max("task_timestamp")).first()[0]}
+        meta = {"total": tasks.count, "statuses": stats.campaign_statuses(tasks, now, kind, layout), "daily": stats.campaign_daily(tasks, kind, layout), "last_update": lambda: tasks.agg(F.max("task_timestamp")).first()[0]}
         return Result(stats.campaign_summary(tasks, now, kind, events_src, layout), meta)
 
     def step_stat(self, step_type: str | None = None, layout: str = "flat", es_compat: bool = False, **params: Any) -> Result:
         """Statistics by step."""
         kind = self._step_type(step_type)
-        got = stats.step_statistics(self._select(self.production, params), kind, layout, es_compat)
+        tasks = self._select(self.production, params)
+        got = stats.step_statistics(tasks, kind, layout, es_compat)
         order = [steps.step_order(F.col("step")), F.col("step")] if kind == "step" else [F.desc_nulls_last("input_events"), F.col("step")]
-        return Result(got.orderBy(*order))
+        return Result(got.orderBy(*order), {"total": tasks.count})

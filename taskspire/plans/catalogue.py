@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskspire.functions import categories, events, names, text, times
+from taskspire.functions import categories, events, names, records, text, times
 from taskspire.operators import chain, consistency, enrich, extract, search, selection, stats, steps, triples, units, upsert
 from taskspire.plans.api import Engine
 from taskspire.plans.model import CTES, NOW, child_rows, read, tasks
-from taskspire.sources.files import quoted
+from taskspire.sources import sinks
+from taskspire.sources.files import closed_messages
 from taskspire.streaming import stateful
 
 QUERIES: dict = {}
@@ -77,7 +78,7 @@ def scan_resume(spark, d):
 @query("index_pruning", "SELECT event_type, count(*) AS n FROM events WHERE ts::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY event_type", model=False)
 def index_pruning(spark, d):
     # the days' bounds on ts itself reach the scan
-    e = read(spark, d, "events").where((F.col("ts") >= F.lit(datetime(2024, 1, 10))) & (F.col("ts") < F.lit(datetime(2024, 1, 13))))
+    e = read(spark, d, "events").where(selection.in_range("ts", gte=datetime(2024, 1, 10), lt=datetime(2024, 1, 13)))
     return e.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
@@ -248,13 +249,13 @@ def hashtag_stat(spark, d):
 @query("semi_has_child", "SELECT taskid FROM tasks WHERE taskid IN (SELECT taskid FROM ds WHERE data_format = 'DAOD_SUSY1' AND bytes > 5000000)")
 def semi_has_child(spark, d):
     t = read(spark, d, "orders").select(F.col("o_orderkey").alias("taskid"))
-    return t.join(child_rows(spark, d).where((F.col("data_format") == "DAOD_SUSY1") & (F.col("bytes") > 5000000)), "taskid", "left_semi")
+    return selection.having_child(t, child_rows(spark, d), "taskid", (F.col("data_format") == "DAOD_SUSY1") & (F.col("bytes") > 5000000))
 
 
 @query("semi_has_parent", "SELECT taskid, position FROM ds WHERE taskid IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
 def semi_has_parent(spark, d):
-    parents = read(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("taskid"))
-    return child_rows(spark, d).join(parents, "taskid", "left_semi").select("taskid", "position")
+    parents = read(spark, d, "orders").withColumnRenamed("o_orderkey", "taskid")
+    return selection.having_parent(child_rows(spark, d).select("taskid", "position"), parents, "taskid", F.col("o_orderstatus") == "P")
 
 
 @query("reverse_nested", "SELECT data_format, count(*) AS tasks, sum(input_bytes)::BIGINT AS input_bytes FROM (SELECT DISTINCT taskid, data_format FROM ds WHERE NOT deleted) JOIN tasks USING (taskid) GROUP BY 1")
@@ -274,8 +275,9 @@ def inner_hits_topn(spark, d):
 
 @query("join_left_on_filter", "SELECT o_orderkey, o_custkey, sum(l_quantity)::BIGINT AS quantity, count(l_linenumber) AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag IN ('R') AND l_linestatus = 'F' GROUP BY 1, 2", model=False)
 def join_left_on_filter(spark, d):
-    li = read(spark, d, "lineitem").where("l_returnflag in ('R') and l_linestatus = 'F'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").cast("long").alias("quantity"), F.count("l_linenumber").alias("lines"))
-    return read(spark, d, "orders").select("o_orderkey", "o_custkey").join(li, "o_orderkey", "left").withColumn("lines", F.coalesce("lines", F.lit(0)))
+    li = read(spark, d, "lineitem").where("l_returnflag in ('R') and l_linestatus = 'F'").withColumnRenamed("l_orderkey", "o_orderkey")
+    got = extract.with_summary(read(spark, d, "orders").select("o_orderkey", "o_custkey"), li, "o_orderkey", quantity=F.sum("l_quantity").cast("long"), lines=F.count("l_linenumber"))
+    return got.withColumn("lines", F.coalesce("lines", F.lit(0)))
 
 
 @query("join_bridge_listagg", "SELECT o_orderkey AS taskid, string_agg(b, ', ' ORDER BY b) AS tags FROM (SELECT DISTINCT l_orderkey, p_brand AS b FROM lineitem JOIN part ON p_partkey = l_partkey) RIGHT JOIN orders ON o_orderkey = l_orderkey GROUP BY 1", model=False)
@@ -289,7 +291,8 @@ def join_star(spark, d):
     o = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").cast("decimal(18,2)").alias("p"))
     places = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
     per = o.groupBy("c_custkey").agg(F.count("*").alias("n"), F.sum("p").alias("s"))  # before the joins: customers, not orders, meet the dimensions
-    joined = per.join(read(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_custkey").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = read(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_nationkey")
+    joined = extract.star(per, (customers, F.col("c_custkey") == F.col("k")), (places, F.col("c_nationkey") == F.col("n_nationkey")))
     return joined.groupBy("n_name", "r_name").agg(F.sum("n").alias("orders"), F.sum("s").cast("double").alias("total"))
 
 
@@ -303,19 +306,19 @@ def join_full_outer_squash(spark, d):
 
 @query("scalar_subquery_listagg", "SELECT c_custkey, (SELECT string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AS done, (SELECT max(o_totalprice) FROM orders WHERE o_custkey = c_custkey) AS most FROM customer", model=False)
 def scalar_subquery_listagg(spark, d):
-    o = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey").cast("string")))).alias("ids"), F.max("o_totalprice").alias("most"))
-    return read(spark, d, "customer").select("c_custkey").join(o, "c_custkey", "left").select("c_custkey", F.when(F.size("ids") > 0, F.array_join("ids", ",")).alias("done"), "most")
+    ids = F.array_sort(F.collect_list(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey").cast("string"))))
+    got = extract.with_summary(read(spark, d, "customer").select("c_custkey"), read(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", ids=ids, most=F.max("o_totalprice"))
+    return got.select("c_custkey", F.when(F.size("ids") > 0, F.array_join("ids", ",")).alias("done"), "most")
 
 
 @query("window_sum_events", "SELECT taskid, position, events, sum(events) OVER (PARTITION BY taskid)::BIGINT AS requested_events FROM ds")
 def window_sum_events(spark, d):
-    return child_rows(spark, d).select("taskid", "position", "events", F.sum("events").over(Window.partitionBy("taskid")).alias("requested_events"))
+    return extract.with_total(child_rows(spark, d).select("taskid", "position", "events"), "taskid", "events", "requested_events")
 
 
 @query("window_first_hit", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n = 1", model=False)
 def window_first_hit(spark, d):
-    # as an aggregate with partial sums: hot users are added up before they are dealt
-    return read(spark, d, "events").groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type")).alias("e")).select("user_id", "e.event_id", "e.event_type")
+    return enrich.first_hits(read(spark, d, "events"), "user_id", ["ts", "event_id"], ["event_id", "event_type"])
 
 
 @query("job_status_sums", "SELECT user_id AS jeditaskid, coalesce(sum(CASE WHEN event_type = 'click' THEN v END), 0)::BIGINT AS toths06_finished, coalesce(sum(CASE WHEN event_type = 'error' THEN v END), 0)::BIGINT AS toths06_failed, sum(v)::BIGINT AS toths06 FROM (SELECT *, floor(value * 100 + 0.5)::BIGINT AS v FROM events WHERE event_type IN ('click', 'error')) GROUP BY 1", model=False)
@@ -326,7 +329,7 @@ def job_status_sums(spark, d):
 
 @query("regex_extract_params", "SELECT event_id, nullif(regexp_extract(props, '\"k\": ([0-9]+)', 1), '') AS k FROM events", model=False)
 def regex_extract_params(spark, d):
-    return read(spark, d, "events").select("event_id", F.nullif(F.regexp_extract("props", '"k": ([0-9]+)', 1), F.lit("")).alias("k"))
+    return read(spark, d, "events").select("event_id", extract.first_match("props", '"k": ([0-9]+)').alias("k"))
 
 
 @query("job_parameters", """SELECT event_id, event_type AS site, event_id::VARCHAR AS n_events_per_job, CASE WHEN event_id % 2 = 0 THEN '8' END AS core_count FROM events""", model=False)
@@ -477,7 +480,8 @@ def dataset_enrich(spark, d):
 
 @query("pivot_params", "SELECT user_id, round(max(CASE WHEN event_type = 'click' THEN value END), 2) AS click, round(max(CASE WHEN event_type = 'error' THEN value END), 2) AS error FROM events GROUP BY 1", model=False)
 def pivot_params(spark, d):
-    return read(spark, d, "events").groupBy("user_id").pivot("event_type", ["click", "error"]).agg(F.round(F.max("value"), 2))
+    got = enrich.pivoted(read(spark, d, "events"), "user_id", "event_type", "value", {"click": "click", "error": "error"})
+    return _rounded(got, "click", "error", digits=2)
 
 
 @query("index_upsert", "SELECT o_orderkey AS _id, coalesce(u.s, o_orderstatus) AS status FROM orders LEFT JOIN (SELECT l_orderkey, arg_max(l_returnflag, l_linenumber * 1000000 + l_partkey) AS s FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1) u ON u.l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' OR u.l_orderkey IS NOT NULL", model=False)
@@ -573,7 +577,10 @@ def string_cleaning(spark, d):
     return read(spark, d, "documents").select("doc_id", text.clean_string("text").alias("cleaned"))
 
 
-@query("dataset_regex_cut")
+_CUT = " UNION ALL ".join(f"SELECT doc_id, '{f}' AS family, '{n}' AS name FROM documents" for f, n in (("montecarlo", "mc12_8TeV.10001.Pythia.merge.AOD.e1_r2"), ("montecarlo", "mc12_8TeV.10002.Pythia.merge.AOD.e1_r2"), ("realdata", "data12_8TeV.00200805.physics_Muons.merge")))
+
+
+@query("dataset_regex_cut", _CUT, model=False)
 def dataset_regex_cut(spark, d):
     body = F.concat(F.coalesce("text", F.lit("")), F.lit(" used mc12_8TeV.1000[1/2].Pythia.merge.AOD.e1_r2 and data12_8TeV.00200805.physics_Muons.merge"))
     found = read(spark, d, "documents").select("doc_id", F.explode(text.dataset_names_udf(body)).alias("x"))
@@ -612,5 +619,219 @@ def change_filter(spark, d):
 
 @query("message_framing", "SELECT doc_id, (len(string_split(coalesce(text, ''), '. ')) - 1)::BIGINT AS messages FROM documents", model=False)
 def message_framing(spark, d):
-    parts = F.split(F.coalesce("text", F.lit("")), quoted(". "), -1)
-    return read(spark, d, "documents").select("doc_id", (F.size(parts) - 1).cast("long").alias("messages"))
+    return read(spark, d, "documents").select("doc_id", F.size(closed_messages(F.col("text"), ". ")).cast("long").alias("messages"))
+
+
+# ---------------------------------------------------------------- records, facts, methods and names
+
+
+def _record():
+    """A record for each part: lists, objects and plain values by turns."""
+    k = F.col("p_partkey")
+    n = k.cast("string")
+    by_turn = lambda *forms: F.when(k % 3 == 0, forms[0]).when(k % 3 == 1, forms[1]).otherwise(forms[2])
+    text_of = lambda form: F.replace(F.lit(form), F.lit("%"), n)
+    return F.parse_json(by_turn(
+        text_of('{"primary_report_number": [null, "X-%", "arXiv:%"], "report_number": [{"report_number": "R%"}, {"internal": "I%"}], "keywords": [{"term": "a%"}, {"term": "b"}], "abstract": [{"x": 1}, {"summary": "S %"}], "recid": %, "doi": ["10.%", "10.0"], "journal": [{"title": "J A", "volume": "%", "year": "2001"}]}'),
+        text_of('{"primary_report_number": "arXiv:%", "report_number": {"internal": "I%", "report_number": "R%"}, "keywords": {"term": "a%, b"}, "abstract": {"summary": "S %"}, "title": {"title": "T\\"%"}, "recid": "%", "doi": "10.%", "journal": {"title": "J A", "volume": "%"}}'),
+        text_of('{"primary_report_number": "X-%", "report_number": {"primary_report_number": "P%"}, "creation_date": "2001-01-%"}'),
+    ))
+
+
+@query("record_codes", """SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN 'arXiv:' || p_partkey END AS arxiv, CASE WHEN p_partkey % 3 < 2 THEN 'I' || p_partkey ELSE 'P' || p_partkey END AS internal, CASE WHEN p_partkey % 3 < 2 THEN 'R' || p_partkey END AS report,
+  CASE WHEN p_partkey % 3 < 2 THEN 'a' || p_partkey || '|b' END AS keywords, CASE p_partkey % 3 WHEN 0 THEN '10.' || p_partkey || '|10.0' WHEN 1 THEN '10.' || p_partkey END AS dois FROM part""", model=False)
+def record_codes(spark, d):
+    r = read(spark, d, "part").select("p_partkey", _record().alias("r"))
+    c = F.col("r")
+    return r.select("p_partkey", records.arxiv_code(c).alias("arxiv"), records.internal_number(c).alias("internal"), records.report_number(c).alias("report"), F.array_join(records.keyword_list(c), "|").alias("keywords"), F.array_join(records.dois(c), "|").alias("dois"))
+
+
+@query("record_description", """SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN 'S ' || p_partkey END AS abstract, CASE WHEN p_partkey % 3 = 1 THEN 'T' || p_partkey END AS title, CASE WHEN p_partkey % 3 < 2 THEN p_partkey::INTEGER END AS record_id, CASE WHEN p_partkey % 3 = 2 THEN '2001-01-' || p_partkey END AS creation_date FROM part""", model=False)
+def record_description(spark, d):
+    got = records.description(F.col("r"))
+    return read(spark, d, "part").select("p_partkey", _record().alias("r")).select("p_partkey", *(c.alias(n) for n, c in got.items()))
+
+
+@query("triples_journals", """WITH j AS (SELECT '<http://example.org/graph/journal_issue/JA_' || p_partkey || CASE WHEN p_partkey % 3 = 0 THEN '_2001' ELSE '' END || '>' AS s, p_partkey AS k FROM part WHERE p_partkey % 3 < 2)
+SELECT s, p, o, t AS o_type FROM (SELECT s, unnest(['a', '<http://example.org/graph#containsPublication>', '<http://example.org/graph#hasTitle>', '<http://example.org/graph#hasVolume>', '<http://example.org/graph#hasYear>']) AS p,
+  unnest(['<http://example.org/graph#JournalIssue>', '<http://example.org/graph/paper/' || k || '>', 'J A', k::VARCHAR, CASE WHEN k % 3 = 0 THEN '2001' END]) AS o, unnest(['iri', 'iri', 'string', 'string', 'string']) AS t FROM j) WHERE o IS NOT NULL""", model=False)
+def triples_journals(spark, d):
+    r = read(spark, d, "part").select("p_partkey", _record().alias("r"))
+    return triples.journal_issues(r, text.iri(triples.GRAPH, "paper", F.col("p_partkey").cast("string")), records.journals(F.col("r")))
+
+
+@query("triples_facts", """WITH d AS (SELECT DISTINCT doc_id AS k, (2010 + doc_id % 5) AS y, (7 + doc_id % 2 * 6) AS e, CASE WHEN doc_id % 3 = 0 THEN 'mc11a' ELSE 'mc11' END AS c, '<http://example.org/graph/document/' || doc_id || '>' AS doc, '<http://example.org/graph/document/' || doc_id || '/plain_text>' AS node, '<http://example.org/graph#' AS g FROM documents)
+SELECT doc AS s, g || 'hasContent>' AS p, node AS o, 'iri' AS o_type FROM d UNION ALL SELECT node, 'a', g || 'DocumentContent>', 'iri' FROM d
+UNION ALL SELECT node, g || 'mentionsDataTakingYear>', unnest([y, y + 1, y + 2])::VARCHAR, 'string' FROM d UNION ALL SELECT node, g || 'mentionsEnergy>', g || e || 'tev>', 'iri' FROM d
+UNION ALL SELECT node, g || 'mentionsCampaign>', '<http://example.org/graph/campaign/' || unnest([c, 'mc12b']) || '>', 'iri' FROM d UNION ALL SELECT DISTINCT '<http://example.org/graph/campaign/' || unnest([c, 'mc12b']) || '>', 'a', g || 'Campaign>', 'iri' FROM d
+UNION ALL SELECT node, g || 'mentionsLuminosity>', '<http://example.org/graph/luminosity/' || e || '.5_fb-1>', 'iri' FROM d UNION ALL SELECT DISTINCT '<http://example.org/graph/luminosity/' || e || '.5_fb-1>', 'a', g || 'Luminosity>', 'iri' FROM d""", model=False)
+def triples_facts(spark, d):
+    head = F.concat(F.lit("with "), (7 + F.col("doc_id") % 2 * 6).cast("string"), F.lit(".5 fb\u22121. "))
+    t = read(spark, d, "documents").select("doc_id", F.concat(head, _fact_text()).alias("t"))
+    return triples.fact_content(t, "doc_id", text.facts("t", "t"))
+
+
+@query("triples_content", """WITH e AS (SELECT DISTINCT taskid AS k, data_format AS f, name AS n FROM ds), g AS (SELECT *, '<http://example.org/graph/document/' || k || '>' AS doc, '<http://example.org/graph/document/' || k || '/' || f || '_datasets>' AS node, '<http://example.org/graph/datasample/' || n || '>' AS sample FROM e)
+SELECT DISTINCT doc AS s, '<http://example.org/graph#hasContent>' AS p, node AS o, 'iri' AS o_type FROM g UNION ALL SELECT DISTINCT node, 'a', '<http://example.org/graph#DocumentContent>', 'iri' FROM g
+UNION ALL SELECT DISTINCT sample, 'a', '<http://example.org/graph#DataSample>', 'iri' FROM g UNION ALL SELECT node, '<http://example.org/graph#mentionsDataSample>', sample, 'iri' FROM g""".replace("WITH e AS", ", e AS", 1))
+def triples_content(spark, d):
+    docs = child_rows(spark, d).groupBy("taskid").agg(F.collect_list(F.struct(F.col("data_format").alias("family"), "name")).alias("names"))
+    return triples.content(docs, "taskid", F.col("names"))
+
+
+@query("triples_periods", """WITH n AS (SELECT n_name AS period, 'data' || (10 + n_regionkey) || '_13TeV' AS project, n_nationkey AS k, 'data' || (10 + n_regionkey) || '_13TeV_' || n_name AS key, '<http://example.org/graph#' AS g, '<http://example.org/graph/' AS r, (2010 + n_regionkey)::VARCHAR AS y FROM nation)
+SELECT s, p, o, t AS o_type FROM (SELECT r || 'dataperiod/' || key || '>' AS s, unnest(['a', g || 'hasPeriod>', g || 'hasLevel>', g || 'hasDescription>', g || 'hasStatus>', g || 'hasYear>', g || 'isPartOf>']) AS p,
+  unnest([g || 'DataPeriod>', period, k::VARCHAR, 'a ' || period, CASE WHEN k % 2 = 0 THEN 'open' END, y, r || 'project/' || project || '>']) AS o, unnest(['iri', 'string', 'string', 'string', 'string', 'integer', 'iri']) AS t FROM n) WHERE o IS NOT NULL
+UNION ALL SELECT DISTINCT r || 'project/' || project || '>', unnest(['a', g || 'hasName>']), unnest([g || 'Project>', project]), unnest(['iri', 'string']) FROM n""", model=False)
+def triples_periods(spark, d):
+    k = F.col("n_nationkey")
+    rows = read(spark, d, "nation").select(F.col("n_name").alias("period"), k.cast("string").alias("periodLevel"), F.concat(F.lit("data"), (F.col("n_regionkey") + 10).cast("string"), F.lit("_13TeV")).alias("projectName"), F.concat(F.lit("a\n"), "n_name").alias("description"), F.when(k % 2 == 0, "open").alias("status"))
+    return triples.data_periods(rows)
+
+
+@query("triples_listed", "SELECT '<http://example.org/graph/project/' || r_name || '>' AS s, unnest(['a', '<http://example.org/graph#hasName>']) AS p, unnest(['<http://example.org/graph#Project>', r_name]) AS o, unnest(['iri', 'string']) AS o_type FROM region WHERE r_regionkey <> 2", model=False)
+def triples_listed(spark, d):
+    return triples.listed_entities(read(spark, d, "region").select(F.concat(F.when(F.col("r_regionkey") == 2, "#").otherwise(" "), "r_name", F.lit(" ")).alias("value")), "Project")
+
+
+@query("task_datasets", "SELECT l_orderkey AS taskid, l_partkey::VARCHAR AS datasetname FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'A' AND o_orderdate > TIMESTAMP '1995-01-01' AND o_orderdate <= TIMESTAMP '1997-01-01'", model=False)
+def task_datasets(spark, d):
+    sets = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("jeditaskid"), F.when(F.col("l_returnflag") == "A", "output").otherwise("input").alias("type"), F.col("l_partkey").cast("string").alias("datasetname"))
+    return extract.task_datasets(_raw_tasks(spark, d), sets, datetime(1995, 1, 1), datetime(1997, 1, 1))
+
+
+def _raw_tasks(spark, d):
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("taskid"), (F.col("o_custkey") + 301).alias("pr_id"), F.col("o_orderdate").alias("timestamp"))
+
+
+@query("task_keys", "SELECT DISTINCT o_orderkey AS taskid FROM orders WHERE o_orderdate > TIMESTAMP '1995-01-01'", model=False)
+def task_keys(spark, d):
+    t = _raw_tasks(spark, d)
+    return extract.task_keys(t.union(t), datetime(1995, 1, 1), None)
+
+
+@query("campaign_any_case", "SELECT o_orderkey AS taskid FROM orders WHERE lower(o_orderpriority) = '1-urgent'", model=False)
+def campaign_any_case(spark, d):
+    return extract.of_campaign(read(spark, d, "orders").select(F.col("o_orderkey").alias("taskid"), F.col("o_orderpriority").alias("campaign")), "1-Urgent").select("taskid")
+
+
+@query("name_parts", "SELECT taskid, split_part(taskname, '.', 5) AS tags, lower(step_name) || '|x' AS hashtags, lower(step_name) || ':x' AS steps, 'mc16_13TeV.' || taskid AS container FROM tasks")
+def name_parts(spark, d):
+    k = F.col("taskid").cast("string")
+    tags = names.hashtags(F.concat("step_name", F.lit(" , X")))
+    steps_of = names.with_suffix(F.array(F.lower("step_name")), F.lit("x"))
+    return tasks(spark, d).select("taskid", names.name_tags("taskname").alias("tags"), F.array_join(tags, "|").alias("hashtags"), F.array_join(steps_of, "|").alias("steps"), names.container(F.concat(F.lit("s:mc16_13TeV."), k, F.lit("_tid0"), k, F.lit("_00"))).alias("container"))
+
+
+@query("clean_words", "SELECT p_partkey, replace(replace(p_name, 'fi', 'fi'), 'ff', 'ff') AS name, '20' || lpad((p_partkey % 30)::VARCHAR, 2, '0') AS year FROM part", model=False)
+def clean_words(spark, d):
+    ligatures = F.replace(F.replace("p_name", F.lit("ff"), F.lit("\ufb00")), F.lit("fi"), F.lit("\ufb01"))
+    return read(spark, d, "part").select("p_partkey", text.without_ligatures(ligatures).alias("name"), text.project_year(F.concat(F.lit("data"), F.lpad((F.col("p_partkey") % 30).cast("string"), 2, "0"), F.lit("_x"))).alias("year"))
+
+
+@query("job_parameters_all", "SELECT event_id, " + ", ".join(f"'{n}' || event_id AS {n}" if n not in ("core_count", "run_number", "n_events_per_job", "n_files_per_job") else f"event_id::VARCHAR AS {n}" for n in extract.PARAMETERS) + " FROM events", model=False)
+def job_parameters_all(spark, d):
+    written = {n: p.split("(")[0].replace("[ =]", "=").replace("\\\\", "\\") for n, p in extract.PARAMETERS.items()}
+    numbers = {n for n, p in extract.PARAMETERS.items() if "([0-9" in p}
+    body = F.concat(*(x for n, head in written.items() for x in (F.lit(head + ("" if n in numbers else n)), F.col("event_id").cast("string"), F.lit('", '))))
+    return read(spark, d, "events").select("event_id", *(c.alias(n) for n, c in extract.job_parameters(body).items()))
+
+
+@query("dataset_facts", "SELECT DISTINCT p_partkey::VARCHAR AS name, CASE WHEN p_partkey % 3 > 0 THEN p_size::BIGINT END AS events, CASE WHEN p_partkey % 4 > 0 THEN p_partkey::BIGINT END AS bytes, p_partkey % 4 = 0 AS deleted FROM part", model=False)
+def dataset_facts(spark, d):
+    k = F.col("p_partkey")
+    text_or_null = lambda c, n: F.when(k % n > 0, c.cast("string")).otherwise("null")
+    return enrich.dataset_facts(read(spark, d, "part").select(k.cast("string").alias("name"), text_or_null(F.col("p_size"), 3).alias("events"), text_or_null(k, 4).alias("bytes")))
+
+
+@query("record_of_link", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_partkey::BIGINT END AS record_id, CASE WHEN p_partkey % 3 = 0 THEN 'b' || p_partkey || '.PDF' WHEN p_partkey % 3 = 1 THEN 'a.pdf' END AS pdf FROM part", model=False)
+def record_of_link(spark, d):
+    k = F.col("p_partkey")
+    n = k.cast("string")
+    entry = lambda url, about: F.struct(url.alias("url"), F.lit(about).cast("string").alias("description"))
+    files = F.when(k % 3 == 0, F.array(entry(F.lit("a.pdf"), None), entry(F.concat(F.lit("b"), n, F.lit(".PDF")), "FullText"))).when(k % 3 == 1, F.array(entry(F.lit("a.pdf"), None), entry(F.lit("c.pdf"), "cover"))).otherwise(F.array(entry(F.lit("x.txt"), None)))
+    return read(spark, d, "part").select("p_partkey", enrich.record_id(F.concat(F.lit("https://example.org/"), F.when(k % 2 == 0, "record/").otherwise("note/"), n, F.lit("?ln=en"))).alias("record_id"), enrich.pdf_choice(files).alias("pdf"))
+
+
+@query("papers_notes", """WITH n AS (SELECT n_nationkey AS id, n_regionkey AS p, 'r' || n_nationkey AS rec FROM nation WHERE n_nationkey % 3 <> 0)
+SELECT r_regionkey AS id, CASE WHEN r_regionkey <> 1 THEN 'first' || r_regionkey END AS record, (SELECT string_agg(rec, ',' ORDER BY n.id) FROM n WHERE p = r_regionkey) AS notes FROM region""", model=False)
+def papers_notes(spark, d):
+    nation, region = read(spark, d, "nation"), read(spark, d, "region")
+    links = nation.groupBy(F.col("n_regionkey").alias("id")).agg(F.collect_list("n_nationkey").alias("notes"))
+    papers = region.select(F.col("r_regionkey").alias("id"), F.concat(F.lit("P"), F.col("r_regionkey").cast("string")).alias("code")).join(links, "id", "left")
+    notes = nation.select(F.col("n_nationkey").alias("id"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"))
+    found = notes.where("id % 3 <> 0").select("code", F.lit(1).alias("record_id"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("record"), F.array(F.lit("Notes")).alias("collections"))
+    of_papers = papers.where("id <> 1").select("code", F.explode(F.array(F.lit(1), F.lit(2))).alias("record_id"), "id").select("code", "record_id", F.concat(F.when(F.col("record_id") == 1, "first").otherwise("second"), F.col("id").cast("string")).alias("record"), F.array(F.lit("Papers")).alias("collections"))
+    other = found.withColumns({"record_id": F.lit(0), "record": F.lit("x"), "collections": F.array(F.lit("Talks"))})
+    records_ = enrich.in_collection(found.union(of_papers).union(other), "collections", ["Notes", "Papers"])
+    got = enrich.assemble_papers(papers, notes, records_)
+    return got.select("id", "record", F.array_join("supporting_notes.note_record", ",").alias("notes"))
+
+
+@query("bulk_lines", """SELECT '{"' || CASE WHEN o_orderkey % 2 = 0 THEN 'update' ELSE 'index' END || '":{"_index":"tasks","_id":"' || o_orderkey || '"}}' || chr(10) || CASE WHEN o_orderkey % 2 = 1 THEN b WHEN o_orderkey % 4 = 0 THEN '{"doc":' || b || ',"upsert":{"status":"' || o_orderstatus || '","_update_required":true}}' ELSE '{"doc":' || b || ',"doc_as_upsert":true}' END AS value FROM (SELECT *, '{"status":"' || o_orderstatus || '"}' AS b FROM orders)""", model=False)
+def bulk_lines(spark, d):
+    k = F.col("o_orderkey")
+    return sinks.bulk_lines(read(spark, d, "orders").select(k.cast("string").alias("_id"), F.lit("tasks").alias("_index"), F.when(k % 2 == 0, "update").otherwise("index").alias("_action"), (k % 4 == 0).alias("_incomplete"), F.col("o_orderstatus").alias("status")))
+
+
+@query("bulk_errors", "SELECT 'index' AS action, o_orderkey::VARCHAR AS _id, 400 AS status, 'bad ' || o_orderkey AS reason FROM orders WHERE o_orderkey % 5 = 0", model=False)
+def bulk_errors(spark, d):
+    def answer(batch: str) -> str:
+        import json
+
+        items = [{"index": {"_id": i, "status": 400, "error": {"reason": f"bad {i}"}} if int(i) % 5 == 0 else {"_id": i, "status": 200}} for i in batch.split("\n")]
+        return json.dumps({"items": items})
+
+    return sinks.bulk_errors(sinks.send_batches(read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("value")), answer, 100))
+
+
+@query("graph_updates", "SELECT 'INSERT DATA { GRAPH <http://example.org/g> { ' || r_name || ' a . } };' AS value FROM region", model=False)
+def graph_updates(spark, d):
+    return sinks.graph_updates(read(spark, d, "region").select(F.concat("r_name", F.lit(" a .")).alias("value")), "http://example.org/g")
+
+
+_BINNED = _HIST.format(step="CASE WHEN step_name LIKE '%Merge%' THEN 'Merge' ELSE step_name END")
+
+
+@query("hist_bins", f""", h AS (SELECT step, day::DATE AS day, tasks FROM ({_BINNED})), b AS (SELECT min(day) AS lo, max(day) - min(day) AS days FROM h)
+SELECT step, strftime(lo + ceil(span * days / 7)::INTEGER, '%Y-%m-%d') AS day, sum(tasks)::BIGINT AS tasks FROM (SELECT *, least(floor((day - lo) * 7 / days), 6)::INTEGER AS span FROM h, b) GROUP BY step, span, lo, days""")
+def hist_bins(spark, d):
+    return Engine(tasks(spark, d), clock=lambda: NOW).call("/task/hist", htags="diphoton,susy", bins=7).data.withColumn("day", day("day"))
+
+
+@query("hist_series", f"SELECT step, array_to_string(list(day ORDER BY day, tasks), ',') AS x, array_to_string(list(tasks ORDER BY day, tasks), ',') AS y FROM ({_HIST.format(step='step_name')}) GROUP BY step")
+def hist_series(spark, d):
+    got = Engine(tasks(spark, d), clock=lambda: NOW).call("/task/hist", htags=["diphoton", "susy"], detailed=True, rtype="json").data
+    return got.select("step", F.array_join("x", ",").alias("x"), F.array_join(F.transform("y", lambda v: v.cast("string")), ",").alias("y"))
+
+
+@query("kwsearch_method", "SELECT taskid FROM tasks WHERE taskname LIKE 'mc1_\\_13TeV.%' ESCAPE '\\' AND (regexp_matches(lower(taskname), '^[^.]*[.][^.]*[.]upsilon[^.]*[.]')) ORDER BY taskid LIMIT 50")
+def kwsearch_method(spark, d):
+    return Engine(tasks(spark, d), clock=lambda: NOW).call("/task/kwsearch", kw="mc1?_13TeV.Upsilon*", size="50", production=True).data.select("taskid")
+
+
+@query("campaign_method", "SELECT step_name AS step, count(*) AS tasks, strftime(max(task_timestamp), '%Y-%m-%d') AS last_update FROM tasks WHERE list_contains(hashtag_list, 'mc16') GROUP BY 1")
+def campaign_method(spark, d):
+    got = Engine(tasks(spark, d), clock=lambda: NOW).call("/campaign/stat", htag="mc16").data
+    return got.select("step", "tasks", day("last_update").alias("last_update"))
+
+
+@query("chain_method", "WITH c AS (SELECT o_orderkey AS k, o_custkey AS g FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders)) SELECT k AS taskid, coalesce((SELECT min(b.k) FROM c b WHERE b.k > c.k)::VARCHAR, '') AS children FROM c", model=False)
+def chain_method(spark, d):
+    o = read(spark, d, "orders")
+    path = F.array_sort(F.collect_list("o_orderkey"))
+    chains = o.groupBy(F.col("o_custkey").alias("chain_id")).agg(path.alias("chain_data"))
+    t = o.select(F.col("o_orderkey").alias("taskid"), F.col("o_custkey").alias("chain_id")).join(chains, "chain_id")
+    first = o.agg(F.min(F.struct("o_custkey", "o_orderkey"))["o_orderkey"]).first()[0]
+    return Engine(t).call("/task/chain", tid=first).data.select("taskid", F.array_join(F.transform("children", lambda x: x.cast("string")), ",").alias("children"))
+
+
+@query("api_methods", "SELECT unnest(['/task/chain', '/task/deriv', '/task/hist', '/task/kwsearch']) AS method", model=False)
+def api_methods(spark, d):
+    return Engine(tasks(spark, d)).call("/task/info").data
+
+
+@query("longest_chains", "SELECT o_custkey, count(*)::INTEGER AS n FROM orders GROUP BY 1 ORDER BY n DESC, min(o_orderkey) LIMIT 10", model=False)
+def longest_chains(spark, d):
+    chains = read(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("chain_data"))
+    return chain.by_length(chains).limit(10).select("o_custkey", F.size("chain_data").alias("n"))

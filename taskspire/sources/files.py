@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -44,6 +45,12 @@ def open_tails(lines: DataFrame, end: str) -> DataFrame | None:
     return whole.select(F.col("_metadata.file_path").alias("source"), F.substring_index("value", end, -1).alias("tail")).where("tail <> ''")
 
 
+def closed_messages(text: Column, end: str) -> Column:
+    """S6, S7. The messages of a whole text; what its last end leaves open is dropped."""
+    parts = F.split(F.coalesce(text, F.lit("")), quoted(end), -1)
+    return F.slice(parts, F.lit(1), F.size(parts) - 1)
+
+
 def quoted(text: str) -> str:
     """A pattern for a text as it stands."""
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
@@ -121,3 +128,39 @@ class CommandSource(DataSource):
 def array_records(value: Column, schema: str) -> Column:
     """S14, T2. The elements of a JSON array, for ``inline``."""
     return F.from_json(value, f"array<{schema}>")
+
+
+def source(spark: SparkSession, kind: str, path: str | Sequence[str] | None = None, form: str = "json", end: str = "\n") -> DataFrame:
+    """S10-S12. Messages of files ('f'), of a distributed file system ('h'; without a path, of the files that standard input names), or of standard input ('s'; needs an end)."""
+    if kind == "h" and path is None:
+        path = [line.strip() for line in sys.stdin if line.strip()]
+    if kind in ("f", "h"):
+        if not path:
+            raise ValueError("no path")
+        return messages(spark, path, form, end)
+    if kind != "s":
+        raise ValueError(f"not a source: {kind}")
+    if not end:
+        raise ValueError("messages of standard input need an end")
+    return spark.createDataFrame([(m, "stdin") for m in sys.stdin.read().split(end)[:-1]], "value string, source string")
+
+
+def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """S29. The rows of files that hold one JSON array each."""
+    return spark.read.schema(schema).json(path, multiLine=True)
+
+
+def settings(text: str) -> dict[str, dict[str, str]]:
+    """S30. The sections of an INI text; lines 'key=value' before any section, as of properties and shell files, are the section ''. Quotes around values and 'export ' are left out."""
+    out: dict[str, dict[str, str]] = {"": {}}
+    at = ""
+    for line in text.splitlines():
+        line = line.strip()
+        if line.startswith("[") and line.endswith("]"):
+            at = line[1:-1].strip()
+            out.setdefault(at, {})
+        elif "=" in line and line[0] not in "#;!":
+            k, v = line.removeprefix("export ").split("=", 1)
+            v = v.strip()
+            out[at][k.strip()] = v[1:-1] if len(v) > 1 and v[0] == v[-1] and v[0] in "'\"" else v
+    return out

@@ -1,9 +1,11 @@
-"""Sinks (K1-K7, K9-K11, K13)."""
+"""Sinks (K1-K11, K13) and how they are retried, polled and reset."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -36,6 +38,67 @@ def bulk_lines(df: DataFrame, key: str = "_id") -> DataFrame:
     return df.select(F.concat(head, F.lit("\n"), F.when(F.col("_action") == "update", changed).otherwise(body)).alias("value"))
 
 
+def retrying(call: Callable, times: int = 3, wait: float = 5.0) -> Callable:
+    """T9. ``call``, tried again after an error up to ``times`` times in all, ``wait`` seconds apart; the last error is raised."""
+
+    def run(*args, **kwargs):
+        for n in range(1, times + 1):
+            try:
+                return call(*args, **kwargs)
+            except Exception:
+                if n == times:
+                    raise
+                time.sleep(wait)
+
+    return run
+
+
+def send_batches(df: DataFrame, send: Callable[[str], str], size: int = 100, tries: int = 3, wait: float = 5.0) -> DataFrame:
+    """K6, K7, K10. (n, response): the texts in ``value`` sent in batches, joined by newlines, from the executors. ``size`` texts a batch; 0: as they arrive from Spark; below 0: one by one. A batch that fails is tried again; a lost executor's batches are sent anew, so the receiver must take repeats."""
+    call = retrying(send, tries, wait)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left: list[str] = []
+        for part in parts:
+            left += part["value"].tolist()
+            step = len(left) if size == 0 else max(1, size)
+            while step and len(left) >= step:
+                batch, left = left[:step], left[step:]
+                yield pd.DataFrame({"n": [len(batch)], "response": [call("\n".join(batch))]})
+        if left:
+            yield pd.DataFrame({"n": [len(left)], "response": [call("\n".join(left))]})
+
+    return df.select("value").where("value is not null").mapInPandas(run, "n long, response string")
+
+
+def bulk_errors(responses: DataFrame) -> DataFrame:
+    """K6. (action, _id, status, reason) of the records that a bulk response reports as failed."""
+    item = "struct<_id:string,status:int,error:struct<reason:string>>"
+    items = responses.select(F.explode(F.from_json("response", f"items array<map<string,{item}>>")["items"]).alias("i")).select(F.explode("i").alias("action", "r"))
+    return items.where("r.error is not null").select("action", "r._id", "r.status", F.col("r.error.reason").alias("reason"))
+
+
+def graph_updates(lines: DataFrame, graph: str) -> DataFrame:
+    """K7. Each triple's line as a request that puts it into a graph."""
+    return lines.select(F.concat(F.lit(f"INSERT DATA {{ GRAPH <{graph}> {{ "), "value", F.lit(" } };")).alias("value"))
+
+
+def load_ontology(spark: SparkSession, path: str) -> DataFrame:
+    """K8. The statements of an ontology's files, for a graph: a file each, as prefixes hold for a whole file."""
+    return spark.read.text(path, wholetext=True, pathGlobFilter="*.ttl")
+
+
+def poll(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str = "1 hour") -> StreamingQuery:
+    """T6, T10. A function for each micro-batch of what has come since the last one, at intervals; a batch counts as done when the function returns."""
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
+def reset(spark: SparkSession, checkpoint: str) -> bool:
+    """T12. Forgets the state and offsets of a stopped stream, or of windows: the next run starts from the beginning. Tells whether there were any."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
+
+
 def write_triples(df: DataFrame, path: str) -> None:
     """K7."""
     df.write.mode("append").text(path)

@@ -119,7 +119,7 @@ def test_engine(some):
     assert [r["step"] for r in e.call("/step/stat", status="!zzz").data.collect()] == ["Evgen", "Deriv Merge"]
     assert e.call("//task//chain/", tid=2).data.count() == 3
     assert e.call("/task/kwsearch", kw="evgen", analysis=True).data.count() == 0
-    assert e.call("/task/kwsearch", kw="evgen").meta["total"] == 2
+    assert e.call("/task/kwsearch", kw="evgen").meta["total"]() == 2
     assert e.call("/nested/task/deriv", project="mc16", amitag="r1").data.count() == 1
     assert e.call("/task/deriv", project="mc16", amitag="r1").data.count() == 1
     assert "warning" in e.call("/nested/task/chain", tid=2).meta
