@@ -1,12 +1,12 @@
 """Operators on small tables."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from taskspire.operators import adjust, chain, consistency, enrich, extract, search, selection, stats, steps, tables, triples, units, upsert
-from taskspire.plans.api import Engine, InvalidParameter, MethodNotFound, MissedParameter, NoDataFound
+from taskspire.plans.api import Engine, InvalidCategoryName, InvalidParameter, MethodExists, MethodNotFound, MissedParameter, NoDataFound, Result
 from taskspire.plans.model import tasks
 
 DS = "array<struct<name:string,data_format:string,events:long,bytes:long,deleted:boolean>>"
@@ -132,6 +132,49 @@ def test_engine(some):
             e.call(path, **p)
 
 
+def test_responses(some):
+    e = Engine(some, some.limit(0), clock=lambda: datetime(2020, 1, 4))
+    got = e.respond("/task/kwsearch", kw="evgen")
+    assert got["status"] == "OK" and got["total"] == 2 and len(got["data"]) == 2 and "timeout" not in got
+    codes = {"/x": 471, "/nothing/info": 461, "/task/hist": 473, "/task/kwsearch": 473}
+    assert {p: e.respond(p)["code"] for p in codes} == codes
+    assert e.respond("/task/kwsearch", kw="a", size="many")["code"] == 474 and e.respond("/task/hist", htags="a", rtype="img")["code"] == 470
+    with pytest.raises(MethodExists):
+        e.add("/task//hist", e.info)
+    with pytest.raises(InvalidCategoryName):
+        e.add("/a b/c", e.info)
+
+    def slow(n):
+        import time
+
+        time.sleep(3)
+        return n
+
+    from pyspark.sql.functions import udf
+
+    e.add("/slow", lambda: Result(some.select(udf(slow, "long")(F.col("taskid").cast("long"))), {"timeout": 0.3}))
+    late = e.respond("/slow")
+    assert late["status"] == "failed" and late["code"] == 470
+
+
+def test_bins(spark):
+    from taskspire.operators import stats
+
+    days = spark.createDataFrame([("a", date(2020, 1, 1), 1), ("a", date(2020, 1, 2), 2), ("b", date(2020, 1, 11), 4)], "step string, day date, tasks long")
+    assert {tuple(r) for r in stats.binned_days(days, 2).collect()} == {("a", date(2020, 1, 1), 3), ("b", date(2020, 1, 6), 4)}
+    assert stats.binned_days(days.limit(1), 5).collect()[0]["tasks"] == 1 and stats.binned_days(days.limit(0), 5).count() == 0
+
+
+def test_records(spark):
+    from taskspire.functions import records as R
+
+    rows = [('{"doi": null, "keywords": [{"term": null}], "report_number": [null, {"internal": "i"}], "primary_report_number": [null, 5, "arXiv:1"]}',), ("{}",), (None,), ("[1]",)]
+    v = spark.createDataFrame(rows, "j string").select(F.try_parse_json("j").alias("v"))
+    c = F.col("v")
+    got = [tuple(r) for r in v.select(R.dois(c), R.keyword_list(c), R.internal_number(c), R.arxiv_code(c), R.journals(c)).collect()]
+    assert got == [(None, [], "i", "arXiv:1", None)] + [(None,) * 5] * 3
+
+
 def test_extract(spark):
     rows = spark.createDataFrame([(1, "input", "b"), (1, "input", "a"), (1, "output", "c"), (2, "output", "d")], "taskid int, type string, datasetname string")
     assert {r[0]: (r[1], r[2]) for r in extract.squash(rows).collect()} == {1: (["a", "b"], ["c"]), 2: (None, ["d"])}

@@ -155,3 +155,59 @@ def test_topology(spark):
         Topology.of({**p, "p.parents": "q"})
     with pytest.raises(ValueError):
         Topology.of({**p, "k.parents": "zzz"})
+
+
+def test_batches_and_errors(spark):
+    df = spark.range(0, 10, 1, 1).select(F.col("id").cast("string").alias("value"))
+    sizes = lambda n: [r["n"] for r in sinks.send_batches(df, lambda t: t, n).collect()]
+    assert sizes(4) == [4, 4, 2] and sizes(-1) == [1] * 10 and sizes(0) == [10]
+    assert sinks.send_batches(df.limit(0), lambda t: t).count() == 0
+    answers = spark.createDataFrame([(2, '{"items":[{"index":{"_id":"1","status":200}},{"update":{"_id":"2","status":409,"error":{"reason":"old"}}}]}')], "n long, response string")
+    assert [tuple(r) for r in sinks.bulk_errors(answers).collect()] == [("update", "2", 409, "old")]
+
+
+def test_retrying():
+    tried = []
+
+    def call(x):
+        tried.append(x)
+        if len(tried) < 3:
+            raise OSError
+        return x
+
+    assert sinks.retrying(call, 3, 0)(7) == 7 and tried == [7, 7, 7]
+    tried.clear()
+    with pytest.raises(OSError):
+        sinks.retrying(call, 2, 0)(7)
+
+
+def test_poll_and_reset(spark, tmp_path):
+    def run():
+        seen = []
+        q = sinks.poll(stream(spark, tmp_path, [], "k string"), lambda d, n: seen.append(d.count()), str(tmp_path / "c"), "1 second")
+        q.processAllAvailable()
+        q.stop()
+        return sum(seen)
+
+    spark.createDataFrame([("a",), ("b",)], "k string").write.json(str(tmp_path / "in"))
+    assert run() == 2 and run() == 0
+    assert sinks.reset(spark, str(tmp_path / "c")) and not sinks.reset(spark, str(tmp_path / "c"))
+    assert run() == 2
+
+
+def test_source_and_settings(spark, tmp_path, monkeypatch):
+    import io
+
+    (tmp_path / "a.json").write_text('{"n":1}\n{"n":2}\n')
+    (tmp_path / "rows.js").write_text('[{"n":1},\n{"n":2}]')
+    assert files.source(spark, "f", str(tmp_path)).count() == 2
+    monkeypatch.setattr("sys.stdin", io.StringIO(f"{tmp_path}/a.json\n\n"))
+    assert files.source(spark, "h").count() == 2
+    monkeypatch.setattr("sys.stdin", io.StringIO("x\0y\0z"))
+    assert [r["value"] for r in files.source(spark, "s", end="\0").collect()] == ["x", "y"]
+    for kind, path, end in (("f", None, "\n"), ("q", "x", "\n"), ("s", None, "")):
+        with pytest.raises(ValueError):
+            files.source(spark, kind, path, end=end)
+    assert files.json_rows(spark, str(tmp_path / "rows.js"), "n int").count() == 2
+    got = files.settings("# r\nexport A='x y'\nB = 1\n\n[es]\nhost=h=1\n; no\n[empty]\n")
+    assert got == {"": {"A": "x y", "B": "1"}, "es": {"host": "h=1"}, "empty": {}}
