@@ -18,6 +18,10 @@ BITS = 128
 BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 1500, 200, 20_000
 #: The buckets' bounds are quantiles of about so many ids a bucket; they only balance the work.
 IDS_A_BUCKET = 50
+#: The query searches all fingerprints for those within RADIUS bits of each row whose doc_id is divisible by EVERY.
+RADIUS, EVERY = 3, 50
+#: Tasks over which the fingerprints of one block are dealt.
+SALTS = 8
 LANES = 0x0000000100000001
 
 
@@ -119,31 +123,47 @@ def hamming(a: Column, b: Column) -> Column:
     return differ
 
 
-def within_radius(queries: DataFrame, fps: DataFrame, radius: int) -> DataFrame:
-    """All pairs (query, fingerprint) of a distinct fingerprint of ``queries`` and one of ``fps`` that differ in 1 to ``radius`` bits.
+def within_radius(queries: DataFrame, fps: DataFrame, radius: int, carry: tuple[str, ...] = (), equal: bool = False) -> DataFrame:
+    """All pairs (query, fingerprint) of a distinct fingerprint of ``queries`` and one of ``fps`` that differ in 1 to ``radius`` bits, or with ``equal`` in none.
 
     radius + 1 block tables: whatever lies within the radius shares at least one block with the query. A pair is made only
-    in the first table in which it meets, so none is made twice and nothing has to be made distinct.
+    in the first table in which it meets, so none is made twice and nothing has to be made distinct. The fingerprints of a
+    block are dealt to SALTS tasks, to each of which its queries go. Columns of ``fps`` to ``carry`` along must be the same
+    in all rows of a fingerprint. Null fingerprints meet none.
     """
     digits = BITS // 4
+    if not 0 <= radius < digits:
+        raise ValueError(f"the radius must be under {digits}, so that no block is empty")
     cuts = [round(i * digits / (radius + 1)) for i in range(radius + 2)]
     block = lambda c, i: F.substring(c, cuts[i] + 1, cuts[i + 1] - cuts[i])
-    tables = lambda d, name: d.select(F.col("fingerprint").alias(name)).distinct().select(name, F.posexplode(F.array(*(block(F.col(name), i) for i in range(radius + 1)))).alias("place", "block"))
+    tables = lambda d, name, *more: d.select(F.col("fingerprint").alias(name), *more).distinct().select(name, *more, F.posexplode(F.array(*(block(F.col(name), i) for i in range(radius + 1)))).alias("place", "block"))
     q, f = F.col("query"), F.col("fingerprint")
     earlier = F.lit(False)
     for i in range(radius):
         earlier = earlier | ((F.col("place") > i) & (block(q, i) == block(f, i)))
-    pairs = tables(queries, "query").join(tables(fps, "fingerprint"), ["place", "block"])
-    return pairs.where((q != f) & ~earlier & (hamming(q, f) <= radius)).select("query", "fingerprint")
+    asked = tables(queries, "query").withColumn("salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
+    pairs = asked.join(tables(fps, "fingerprint", *carry).withColumn("salt", F.pmod(F.hash("fingerprint"), F.lit(SALTS))), ["place", "block", "salt"])
+    return pairs.where((F.lit(equal) | (q != f)) & ~earlier & (hamming(q, f) <= radius)).select("query", "fingerprint", *carry)
+
+
+def neighbour_counts(rows: DataFrame, asked: Column, radius: int) -> DataFrame:
+    """(fingerprint, n_within) for each fingerprint of a row that is ``asked``: how many other rows lie within the radius. Equal fingerprints are searched once and counted by their copies."""
+    copies = rows.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+    pairs = within_radius(rows.where(asked), copies, radius, ("copies",), equal=True)
+    return pairs.groupBy(F.col("query").alias("fingerprint")).agg((F.sum("copies") - 1).alias("n_within"))
 
 
 def op4_fingerprints(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns, and n_within: for rows whose doc_id is divisible by EVERY, how many other documents' fingerprints lie within RADIUS bits, found by the block tables; else null."""
     found = materialize(fingerprint_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), "fingerprints")
     zeros = F.lit(EMPTY)
     rows = found.select("doc_id", "own", "next", "n_chars", "edited_sha256", F.coalesce("fingerprint", zeros).alias("fingerprint"), F.coalesce("edited_fingerprint", zeros).alias("edited_fingerprint"))
     following = rows.select(F.col("own").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
-    joined = rows.join(following, "next")
-    return joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+    asked = F.coalesce(F.col("doc_id") % EVERY == 0, F.lit(False))
+    # two parts, so that only the rows that are asked for meet the counts; both use one shuffle of the followers
+    parts = rows.where(~asked).join(following, "next").withColumn("n_within", F.lit(None).cast("long")), rows.where(asked).join(following, "next").join(neighbour_counts(rows, asked, RADIUS), "fingerprint")
+    near = likeness(F.col("fingerprint"), F.col("edited_fingerprint")), likeness(F.col("fingerprint"), F.col("next_fingerprint"))
+    return parts[0].unionByName(parts[1]).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near[0].alias("near_edited"), near[1].alias("near_next"), "n_within")
 
 
 QUERIES = {"op4_fingerprints": op4_fingerprints}

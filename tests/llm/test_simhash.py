@@ -4,6 +4,7 @@ import struct
 import sys
 from pathlib import Path
 
+import pytest
 import xxhash
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -60,6 +61,21 @@ def test_radius(spark):
     assert H.within_radius(frame(base), frame(all_), 3).count() == len(want)
 
 
+def test_counts_within_radius(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(H, "EVERY", 3)
+    monkeypatch.setattr(H, "RADIUS", 9)
+    r = random.Random(5)
+    base = [prose(r, 60).split() for _ in range(6)]
+    texts = [" ".join(w if r.random() > 0.02 else "zz" for w in b) for b in base for _ in range(7)] + [None, "", "one"]
+    documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x["doc_id"]: x["n_within"] for x in H.op4_fingerprints(spark, str(tmp_path)).collect()}
+    prints = [int(fingerprint(t or ""), 16) for t in texts]
+    want = {i: sum((a ^ b).bit_count() <= 9 for b in prints) - 1 if i % 3 == 0 else None for i, a in enumerate(prints)}
+    assert got == want and max(v or 0 for v in want.values()) > 1
+    with pytest.raises(ValueError, match="radius"):
+        H.within_radius(spark.createDataFrame([], "fingerprint string"), spark.createDataFrame([], "fingerprint string"), 32)
+
+
 def test_no_python(spark, small):
     plan = H.op4_fingerprints(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
