@@ -64,19 +64,18 @@ def fact_content(df: DataFrame, key: str, facts: dict[str, Column], graph: str =
     document, node = iri(graph, "document", F.col("k")), iri(graph, "document", F.concat("k", F.lit("/plain_text")))
     luminosity = iri(graph, "luminosity", F.replace(F.col("luminosity"), F.lit(" "), F.lit("_")))
     energy = F.concat(F.lit(f"<{graph}#"), F.lower(F.replace(F.col("energy"), F.lit(" "), F.lit(""))), F.lit(">"))
-    known, campaigns = e.where("luminosity is not null"), e.select("k", F.explode("campaigns").alias("c"))
-    campaign = iri(graph, "campaign", F.col("c"))
-    parts = [
-        _linked(e, document, "hasContent", node, graph=graph), _typed(e, node, "DocumentContent", graph),
-        _linked(e.select("k", F.explode("years").alias("y")), node, "mentionsDataTakingYear", F.col("y"), "string", graph),
-        _typed(known, luminosity, "Luminosity", graph), _linked(known, node, "mentionsLuminosity", luminosity, graph=graph),
-        _linked(e.where("energy is not null"), node, "mentionsEnergy", energy, graph=graph),
-        _typed(campaigns, campaign, "Campaign", graph), _linked(campaigns, node, "mentionsCampaign", campaign, graph=graph),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    name = lambda x: F.lit(f"<{graph}#{x}>")
+    triple = lambda s, p, o, t="iri": F.struct(s.alias("s"), p.alias("p"), o.alias("o"), F.lit(t).alias("o_type"))
+    typed = lambda s, kind: triple(s, F.lit("a"), name(kind))
+    of_campaign = lambda c: iri(graph, "campaign", c)
+    own = F.array(
+        triple(document, name("hasContent"), node), typed(node, "DocumentContent"), typed(luminosity, "Luminosity"),
+        triple(node, name("mentionsLuminosity"), luminosity), triple(node, name("mentionsEnergy"), energy),
+    )
+    lists = F.transform("years", lambda y: triple(node, name("mentionsDataTakingYear"), y, "string")), F.transform("campaigns", lambda c: typed(of_campaign(c), "Campaign")), F.transform("campaigns", lambda c: triple(node, name("mentionsCampaign"), of_campaign(c)))
+    # the texts are searched once; what has a null part is not known
+    rows = e.select(F.inline(F.concat(own, *(F.coalesce(x, F.slice(own, 1, 0)) for x in lists))))
+    return rows.where("s is not null and o is not null").distinct()
 
 
 def data_periods(df: DataFrame, graph: str = GRAPH) -> DataFrame:
