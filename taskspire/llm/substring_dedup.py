@@ -25,8 +25,9 @@ K = 8
 SHARD_WORDS = 60_000
 #: A minimizer with more distinct segments than this is cut into single windows, each a segment of its own.
 HOT = 4096
-#: The filter of repeated minimizers: 64-bit words, at most (64 MB). It only spares work; fuller, it lets more through.
-FILTER_WORDS = 1 << 23
+#: The filter of repeated minimizers goes through the driver, so it has at most this many 64-bit words (128 KB), 16 bits for
+#: each minimizer. More minimizers than that stay a distributed table, and the segments are joined with it.
+FILTER_WORDS = 1 << 14
 
 
 class SuffixAutomaton:
@@ -127,14 +128,17 @@ def repeated_minimizers(docs: DataFrame, window: int) -> DataFrame:
     return map_arrow(docs.select("text"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
 
 
-def filter_of(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``keys`` (h): two bits in one 64-bit word for each key."""
+def filter_of(keys: DataFrame) -> np.ndarray | None:
+    """A Bloom filter of ``keys`` (h): two bits in one 64-bit word for each key. None if it would be over ``FILTER_WORDS``."""
     n = keys.count()
+    if n > 4 * FILTER_WORDS:
+        return None
     words = min(FILTER_WORDS, 1 << max(10, n.bit_length()))
     bit = lambda by: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("h", by).bitwiseAND(F.lit(63)).cast("int"))
-    rows = keys.select(F.shiftrightunsigned("h", 12).bitwiseAND(F.lit(words - 1)).alias("word"), bit(0).bitwiseOR(bit(6)).alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    rows = keys.select(F.shiftrightunsigned("h", 12).bitwiseAND(F.lit(words - 1)).alias("word"), bit(0).bitwiseOR(bit(6)).alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     out = np.zeros(words, np.int64)
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    for word, bits in rows.collect():
+        out[word] = bits
     return out
 
 
@@ -144,18 +148,21 @@ def may_hold(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bloom.view(np.uint64)[((u >> np.uint64(12)) & np.uint64(len(bloom) - 1)).astype(np.int64)] & bits) == bits
 
 
-def occurrences(docs: DataFrame, bloom: np.ndarray, window: int) -> DataFrame:
-    """h, seg, row_key, first and count of each segment of ``docs`` (row_key, text) whose minimizer may be repeated."""
-    sent = docs.sparkSession.sparkContext.broadcast(bloom)
+def occurrences(docs: DataFrame, keys: DataFrame, window: int) -> DataFrame:
+    """h, seg, row_key, first and count of each segment of ``docs`` (row_key, text) whose minimizer is, or by the filter may be, in ``keys`` (h)."""
+    bloom = filter_of(keys)
+    sent = None if bloom is None else docs.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for h, doc, first, count, seg in segments(as_bytes(batch.column(1)), window):
-                on = np.flatnonzero(may_hold(sent.value, h))
+                on = slice(None) if sent is None else np.flatnonzero(may_hold(sent.value, h))
                 yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(seg[on]), pa.array(keys[doc[on]]), pa.array(first[on].astype(np.int32)), pa.array(count[on].astype(np.int32))], names=["h", "seg", "row_key", "first", "count"])
 
-    return map_arrow(docs.select("row_key", "text"), run, "h long, seg long, row_key long, first int, count int")
+    found = map_arrow(docs.select("row_key", "text"), run, "h long, seg long, row_key long, first int, count int")
+    # by a shuffle, whatever Spark's threshold is: a broadcast would gather the keys on the driver
+    return found.join(keys.hint("shuffle_hash"), "h", "left_semi") if sent is None else found
 
 
 def segment_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -223,7 +230,7 @@ def repeated_spans(docs: DataFrame, window: int, hot: int = HOT) -> DataFrame:
     """(row_key, first, mask) for ``docs`` (row_key, text): bit i of mask says that the window which begins at word first + i is repeated."""
     if not 2 * K <= window <= 62 + K:
         raise ValueError(f"window must be {2 * K} to {62 + K} words")
-    found = materialize(occurrences(docs, filter_of(materialize(repeated_minimizers(docs, window), "minimizers")), window), "segments")
+    found = materialize(occurrences(docs, materialize(repeated_minimizers(docs, window), "minimizers"), window), "segments")
     distinct = materialize(found.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("count").alias("count"), F.min(F.struct("row_key", "first")).alias("at")), "distinct-segments")
     of_h = distinct.groupBy("h").agg(F.sum("c").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     known = materialize(distinct.join(of_h, "h"), "repeated-segments")

@@ -5,6 +5,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 from data import documents, prose  # noqa: E402
@@ -51,6 +52,18 @@ def test_full_filter_only_costs(spark, monkeypatch):
     assert got == {k: v[3] for k, v in brute(texts, 16).items()}
 
 
+def test_many_minimizers_never_reach_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(S, "FILTER_WORDS", 1)
+    texts = corpus(7)
+    docs = documents(spark, texts)
+    keys = spark.range(5).select(F.col("id").alias("h"))
+    assert S.filter_of(keys) is None and len(S.filter_of(keys.where("h < 4"))) == 1
+    found = S.occurrences(docs.withColumn("row_key", F.col("doc_id")), keys, 16)
+    assert "ShuffledHashJoin" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "Broadcast" not in plan
+    got = {r["doc_id"]: r["kept_text"] for r in S.remove_repeats(docs, 16).collect()}
+    assert got == {k: v[3] for k, v in brute(texts, 16).items()}
+
+
 def test_automaton():
     a = S.SuffixAutomaton()
     text = [1, 2, 3, 1, 2, 4]
