@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskspire.llm.common import Words, as_bytes, gram_hashes, map_arrow, materialize, mix, pieces
+from taskspire.llm.common import Words, as_bytes, free_shuffles, gram_hashes, map_arrow, materialize, mix, pieces
 
 #: Words of a minimizer; a window has window - K + 1 of them.
 K = 8
@@ -234,12 +234,15 @@ def repeated_spans(docs: DataFrame, window: int, hot: int = HOT) -> DataFrame:
     distinct = materialize(found.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("count").alias("count"), F.min(F.struct("row_key", "first")).alias("at")), "distinct-segments")
     of_h = distinct.groupBy("h").agg(F.sum("c").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     known = materialize(distinct.join(of_h, "h"), "repeated-segments")
+    free_shuffles(docs.sparkSession)
     # one kind of segment, twice or more: its automaton is a path of that weight
     alone = known.where("kinds = 1").select("h", "seg", F.when(F.col("count") >= 63, F.lit(-1)).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("count")) - 1).alias("mask"))
     # the words come from one document for each segment, so a segment that many documents share doesn't meet in one task
     texts = materialize(segment_words(docs, known.where("kinds > 1").select("h", "seg", "c", "kinds", "at.row_key", "at.first", "count"), window), "segment-texts")
+    free_shuffles(docs.sparkSession)
     masks = stream_shards(texts.where(F.col("kinds") <= hot), window).union(count_windows(texts.where(F.col("kinds") > hot), window)).where("mask <> 0")
     masks = materialize(masks.union(alone), "masks")
+    free_shuffles(docs.sparkSession)
     return found.select("h", "seg", "row_key", "first").join(masks, ["h", "seg"]).select("row_key", "first", "mask")
 
 
@@ -247,6 +250,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, hot: int = HOT) -> DataFra
     """For each row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and the kept text. Null and empty texts have no words; texts shorter than the window lose none. Equal rows are repeats of each other."""
     rows = docs.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
     spans = materialize(repeated_spans(rows, window, hot), "spans")
+    free_shuffles(docs.sparkSession)
     listed = spans.groupBy("row_key").agg(F.collect_set(F.struct("first", "mask")).alias("spans"))
     joined = rows.join(listed, "row_key", "left").select("doc_id", "text", "spans")
 
